@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, DataFrameWriter
 
 from groundburn.operators.contracts import to_contract
+
+
 def jdbc_writer(name: str, table: DataFrame, url: str, properties: Mapping[str, str]) -> DataFrameWriter:
     """Writer that replaces one table with the contract's columns.
 

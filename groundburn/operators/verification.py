@@ -67,10 +67,10 @@ def recomputed_figures(flights: DataFrame, p: Params) -> DataFrame:
     min_out, min_in = F.sum(F.when(both, out)), F.sum(F.when(both, arr))
     return _long(flights.agg(
         F.count(F.lit(1)).alias("filas"),
-        (F.count(F.lit(1)) - F.count(out)).alias("taxiout_nulo"),
-        (F.count(F.lit(1)) - F.count(arr)).alias("taxiin_nulo"),
-        F.count_if(both).alias("vuelos_validos"),
-        F.count_if(both).alias("vuelos_en_resumen"),
+        tally(out.isNull()).alias("taxiout_nulo"),
+        tally(arr.isNull()).alias("taxiin_nulo"),
+        tally(both).alias("vuelos_validos"),
+        tally(both).alias("vuelos_en_resumen"),
         hours(min_out).alias("horas_salida"),
         hours(min_in).alias("horas_llegada"),
         hours(min_out + min_in).alias("horas_total"),
@@ -92,7 +92,7 @@ def verify_ranking(airport_month: DataFrame, flights: DataFrame, p: Params, top:
 
     The order follows tonnes rounded to units, then the name.
     """
-    place = Window.partitionBy(F.lit(0)).orderBy(F.desc("t"), "aeropuerto")
+    place = Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("t"), F.asc_nulls_last("aeropuerto"))
 
     def placed(ranked: DataFrame, suffix: str) -> DataFrame:
         return ranked.withColumn("puesto", F.row_number().over(place)).select(

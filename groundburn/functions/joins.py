@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundburn.functions.intermediate import materialise
+
 #: A side is broadcast only when counted at or below this many rows.
 BROADCAST_ROWS = 200_000
-SALT = "_salt"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back.
-
-    The folder is the one ``spark.checkpoint.dir`` names. Only a local master
-    gets a folder of its own when none is named; elsewhere the plan is
-    returned as it is.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="groundburn-checkpoint-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+#: A side read from files is broadcast only when they are at most this large.
+BROADCAST_BYTES = 32 << 20
 
 
 def join_sized(
@@ -36,21 +19,15 @@ def join_sized(
     on: list[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
-    salts: int = 64,
 ) -> DataFrame:
     """Equi-join that broadcasts ``small`` only after counting it.
 
-    Above ``max_rows`` both sides are shuffled on the key plus a salt: the
-    large side takes the salt from a hash of its own row (so a retried task
-    repeats it) and the small side is repeated once per salt. A key holding a
-    third of all rows is then spread over ``salts`` tasks. ``how`` must keep
-    only rows that the large side drives: inner, left, left_semi, left_anti.
+    Above ``max_rows`` it is a shuffled join, whose oversized partitions Spark
+    splits over several tasks. Splitting works on the large side, so ``how``
+    must keep only rows that side drives: inner, left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     small = materialise(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return large.join(F.broadcast(small), on, how)
-    salted = large.withColumn(SALT, F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int"))
-    repeated = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, SALT], how).drop(SALT)
+    fits = small.count() <= max_rows
+    return large.join(F.broadcast(small) if fits else small.hint("merge"), on, how)

@@ -39,7 +39,7 @@ def deviation() -> Column:
     n = present().cast("double")
     squares = F.sum(F.col(VALUE) * F.col(VALUE) * F.col(WEIGHT))
     variance = F.try_divide(squares - F.try_divide(total() * total(), n), n - 1)
-    return F.sqrt(F.greatest(variance, F.lit(0.0)))
+    return F.sqrt(F.when(variance < 0, 0.0).otherwise(variance))
 
 
 def quantile(share: float, only: Column | None = None) -> Column:

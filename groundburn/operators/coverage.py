@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundburn.functions.calendar import flight_date
+from groundburn.functions.joins import join_sized
 from groundburn.functions.numeric import share, tally
 from groundburn.params import Params
 from groundburn.schema import CRITICAL, DELAY_COLUMNS, FLIGHT_KEY
 
+_CHUNK = 32
+
 # SQL names of the column types.
 _SQL_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
               "date": "DATE", "boolean": "BOOLEAN"}
@@ -33,9 +37,9 @@ def month_coverage(flights: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_last("anio"), F.asc_nulls_last("mes"))
 
 
-def expected_months(flights: DataFrame, p: Params) -> DataFrame:
-    """The calendar the data should cover."""
-    spark, per_year = flights.sparkSession, len(p.months)
+def expected_months(like: DataFrame, p: Params) -> DataFrame:
+    """The calendar the data should cover, in the session of ``like``."""
+    spark, per_year = like.sparkSession, len(p.months)
     place = F.col("id").cast("int")
     return spark.range(len(p.years) * per_year, numPartitions=1).select(
         F.get(F.array(*map(F.lit, p.years)), F.floor(place / per_year).cast("int")).cast("long").alias("anio"),
@@ -55,15 +59,15 @@ def calendar_differences(flights: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def coverage_summary(flights: DataFrame, p: Params) -> DataFrame:
+def coverage_summary(coverage: DataFrame, p: Params) -> DataFrame:
     """One row: totals, months seen and expected, and the differences as text.
 
-    The coverage rows (one per month) and the expected months are stacked and
-    matched by grouping, so the flights are read once.
+    Takes :func:`month_coverage`. Its rows and the expected months are stacked
+    and matched by grouping.
     """
     keys = ["anio", "mes"]
-    seen = month_coverage(flights).withColumn("esperado", F.lit(False))
-    wanted = expected_months(flights, p).withColumn("esperado", F.lit(True))
+    seen = coverage.withColumn("esperado", F.lit(False))
+    wanted = expected_months(coverage, p).withColumn("esperado", F.lit(True))
     months = seen.unionByName(wanted, allowMissingColumns=True).groupBy(*keys).agg(
         F.sum("filas").alias("filas"),
         F.sum("fechas_fuera_de_particion").alias("fuera"),
@@ -85,74 +89,95 @@ def coverage_summary(flights: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def run_summary(flights: DataFrame, p: Params) -> DataFrame:
+def run_summary(coverage: DataFrame, p: Params) -> DataFrame:
     """Row total and whether exactly the expected months are present."""
-    return coverage_summary(flights, p).select(
+    return coverage_summary(coverage, p).select(
         "filas_total",
         ((F.col("meses_observados") == F.col("meses_esperados"))
          & (F.col("meses_faltantes") == "")).alias("meses_ok"),
     )
 
 
-def null_profile(flights: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:
-    """Type, nulls and non-nulls of each column in one scan.
+def _null_counts(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and non-nulls of each column: columna, filas, no_nulos.
 
-    A column the table lacks is reported as absent, with NULL counts.
+    A few columns are counted at a time, because code is generated only for
+    aggregates of moderate width. Each column is still read once.
     """
+    def some(chunk: Sequence[str]) -> DataFrame:
+        counts = flights.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in chunk])
+        return counts.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("columna"), F.col("_n").alias("filas"), F.col(c).alias("no_nulos"))
+            for c in chunk
+        ])))
+
+    chunks = [columns[i:i + _CHUNK] for i in range(0, len(columns), _CHUNK)]
+    return reduce(DataFrame.unionByName, map(some, chunks))
+
+
+def schema_profile(flights: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Type, nulls and non-nulls of each column (all of them by default)."""
     types = {f.name: f.dataType.simpleString() for f in flights.schema.fields}
-    present = [c for c in columns if c in types]
-    counts = flights.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in present])
-    rows = [
-        F.struct(
-            F.lit(c).alias("columna"),
-            F.lit(_SQL_NAMES.get(types[c], types[c].upper()) if c in types else None).cast("string").alias("tipo"),
-            F.lit(c in types).alias("presente"),
-            (F.col("_n") - F.col(c) if c in types else F.lit(None)).cast("long").alias("nulos"),
-            (F.col(c) if c in types else F.lit(None)).cast("long").alias("no_nulos"),
-        )
-        for c in columns
-    ]
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def schema_profile(flights: DataFrame) -> DataFrame:
-    """Null profile over every column: name, type and counts."""
-    return null_profile(flights, flights.columns)
+    chosen = list(types) if columns is None else [c for c in columns if c in types]
+    type_of = F.create_map(*[F.lit(x) for c in chosen for x in (c, _SQL_NAMES.get(types[c], types[c].upper()))])
+    return _null_counts(flights, chosen).select(
+        "columna", type_of[F.col("columna")].alias("tipo"), F.lit(True).alias("presente"),
+        (F.col("filas") - F.col("no_nulos")).alias("nulos"), "no_nulos",
+    )
+
+
+def critical_nulls(profile: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:
+    """The critical columns of a profile; one the table lacks is absent, with NULL counts."""
+    wanted = profile.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("columna"))
+    return wanted.join(profile, "columna", "left").withColumn("presente", F.coalesce("presente", F.lit(False)))
+
+
+def null_profile(flights: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:
+    """Nulls of the critical columns, reading no others."""
+    return critical_nulls(schema_profile(flights, columns), columns)
 
 
 def null_share(flights: DataFrame, columns: Sequence[str] = DELAY_COLUMNS) -> DataFrame:
-    """Nulls of each column and their share of all rows, in one scan."""
-    counts = flights.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
-    rows = [
-        F.struct(
-            F.lit(c).alias("columna"),
-            (F.col("_n") - F.col(c)).alias("nulos"),
-            share(F.col("_n") - F.col(c), F.col("_n")).alias("pct_nulos"),
-        )
-        for c in columns
-    ]
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def _key_groups(flights: DataFrame, key: Sequence[str]) -> DataFrame:
-    return flights.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-
-
-def duplicate_summary(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
-    """Groups under a key, and those holding more than one row; NULLs are equal."""
-    repeated = F.col("n") > 1
-    return _key_groups(flights, key).agg(
-        F.count(F.lit(1)).alias("grupos"),
-        F.sum("n").alias("filas_cubiertas"),
-        F.sum(repeated.cast("long")).alias("grupos_duplicados"),
-        F.sum(F.when(repeated, F.col("n")).otherwise(0)).alias("filas_en_grupos_duplicados"),
-        F.max("n").alias("max_repeticiones"),
-    )
+    """Nulls of each column and their share of all rows."""
+    nulls = F.col("filas") - F.col("no_nulos")
+    return _null_counts(flights, columns).select(
+        "columna", nulls.alias("nulos"), share(nulls, F.col("filas")).alias("pct_nulos"))
 
 
-def duplicate_examples(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, top: int = 20) -> DataFrame:
-    """The most repeated keys."""
+def repeated_keys(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
+    """Keys held by more than one row, and how many hold them; NULLs are equal.
+
+    Nearly all keys are unique, so whole keys are not shuffled: rows are first
+    counted under a 64-bit hash, and only those sharing a hash are grouped by
+    the key itself, which also settles accidental collisions.
+    """
+    hashed = flights.select(*key, F.xxhash64(*key).alias("_h"))
+    shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
     return (
-        _key_groups(flights, key).where(F.col("n") > 1)
-        .orderBy(F.desc("n"), *[F.asc_nulls_last(c) for c in key]).limit(top)
+        join_sized(hashed, shared, ["_h"], "left_semi").groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     )
+
+
+def duplicate_summary(flights: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Groups under a key, and those holding more than one row.
+
+    Takes :func:`repeated_keys`: every row outside it is a group of its own.
+    """
+    rows = flights.agg(F.count(F.lit(1))).scalar()
+    totals = repeated.agg(
+        F.count(F.lit(1)).alias("grupos"), F.coalesce(F.sum("n"), F.lit(0)).alias("filas"), F.max("n").alias("mayor"),
+    ).withColumn("total", rows)
+    some = F.col("total") > 0
+    return totals.select(
+        (F.col("total") - F.col("filas") + F.col("grupos")).alias("grupos"),
+        F.when(some, F.col("total")).alias("filas_cubiertas"),
+        F.when(some, F.col("grupos")).alias("grupos_duplicados"),
+        F.when(some, F.col("filas")).alias("filas_en_grupos_duplicados"),
+        F.when(some, F.coalesce(F.col("mayor"), F.lit(1))).alias("max_repeticiones"),
+    )
+
+
+def duplicate_examples(repeated: DataFrame, key: Sequence[str] = FLIGHT_KEY, top: int = 20) -> DataFrame:
+    """The most repeated keys."""
+    return repeated.orderBy(F.desc("n"), *[F.asc_nulls_last(c) for c in key]).limit(top)

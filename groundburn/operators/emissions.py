@@ -18,9 +18,9 @@ def _co2(minutes, scenario: str, p: Params):
 def airport_month(segments: DataFrame, p: Params) -> DataFrame:
     """Populations B and C per airport and month, departures beside arrivals.
 
-    Grouping the segments pairs both sides the way a full outer join of two
-    aggregates would, with one shuffle. Such a join never matches a NULL key,
-    so those stay apart by side.
+    Both sides are summed in one scan and then paired by grouping, the way a
+    full outer join of two aggregates would pair them. Such a join never
+    matches a NULL key, so those stay apart by side.
     """
     keys = ["aeropuerto", "anio", "mes"]
     unmatched = F.when(
@@ -29,7 +29,7 @@ def airport_month(segments: DataFrame, p: Params) -> DataFrame:
     def side(name: str, column: str, zero):
         return F.coalesce(F.sum(F.when(F.col("lado") == name, F.col(column))), zero)
 
-    totals = segments.groupBy(*keys, unmatched.alias("suelto")).agg(
+    totals = roll_up(segments, [*keys, "lado"]).groupBy(*keys, unmatched.alias("suelto")).agg(
         side("salida", "vuelos", F.lit(0)).alias("vuelos_salida"),
         side("llegada", "vuelos", F.lit(0)).alias("vuelos_llegada"),
         side("salida", "minutos", F.lit(0.0)).alias("salida"),

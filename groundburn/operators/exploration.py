@@ -33,15 +33,13 @@ def cleaning_statistics(flights: DataFrame, p: Params) -> DataFrame:
         "desviados_dentro_de_validos": both_valid(p) & flagged("Diverted"),
         "grupo_hora_24_cast": false_hour_24(p),
     }
-    once = [c.cast("long").alias(name) for name, c in counters.items()]
-    nothing = [F.lit(None).cast("long").alias(name) for name in counters]
-    both_columns = F.array(
-        F.struct(F.lit("TaxiOut").alias(Q.VARIABLE), F.col("TaxiOut").alias(Q.VALUE), *once),
-        F.struct(F.lit("TaxiIn").alias(Q.VARIABLE), F.col("TaxiIn").alias(Q.VALUE), *nothing),
-    )
-    counted = (
-        flights.select(F.inline(both_columns)).groupBy(Q.VARIABLE, Q.VALUE)
-        .agg(F.count(F.lit(1)).alias(Q.WEIGHT), *[F.sum(name).alias(name) for name in counters])
+    both_columns = flights.select(
+        *[c.cast("long").alias(name) for name, c in counters.items()], "TaxiOut", "TaxiIn",
+    ).unpivot(list(counters), ["TaxiOut", "TaxiIn"], Q.VARIABLE, Q.VALUE)
+    once = F.col(Q.VARIABLE) == "TaxiOut"
+    counted = both_columns.groupBy(Q.VARIABLE, Q.VALUE).agg(
+        F.count(F.lit(1)).alias(Q.WEIGHT),
+        *[F.sum(F.when(once, F.col(name))).alias(name) for name in counters],
     )
     out, arr = F.col(Q.VARIABLE) == "TaxiOut", F.col(Q.VARIABLE) == "TaxiIn"
 

@@ -7,11 +7,11 @@ flight legs turned into measures here or an already summed roll-up of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundburn.functions.clock import hour
-from groundburn.functions.validity import arrival_valid, both_valid, departure_valid
+from groundburn.functions.validity import both_valid, departure_valid
 from groundburn.params import Params
 
 #: Additive columns of a departure row. The ``ambos`` ones are population A.
@@ -42,21 +42,16 @@ def segments(flights: DataFrame, p: Params) -> DataFrame:
 
     A flight has up to two segments; both come out of one scan.
     """
-    def segment(side: str, airport: str, minutes: str, valid: Column) -> Column:
-        return F.struct(
-            F.lit(side).alias("lado"),
-            F.col(airport).alias("aeropuerto"),
-            F.when(valid, F.col(minutes)).alias("minutos"),
+    return flights.sparkSession.sql(
+        """
+        SELECT aeropuerto, anio, mes, lado, minutos, 1L AS vuelos
+        FROM (SELECT Year AS anio, Month AS mes, Origin, TaxiOut, Dest, TaxiIn FROM {flights})
+        UNPIVOT INCLUDE NULLS (
+          (aeropuerto, minutos) FOR lado IN ((Origin, TaxiOut) AS salida, (Dest, TaxiIn) AS llegada)
         )
-
-    both_ends = F.array(
-        segment("salida", "Origin", "TaxiOut", departure_valid(p)),
-        segment("llegada", "Dest", "TaxiIn", arrival_valid(p)),
-    )
-    return (
-        flights.select(F.col("Year").alias("anio"), F.col("Month").alias("mes"), F.inline(both_ends))
-        .where(F.col("minutos").isNotNull())
-        .withColumn("vuelos", F.lit(1).cast("long"))
+        WHERE minutos <= {cap}
+        """,
+        flights=flights, cap=p.taxi_cap,
     )
 
 

@@ -14,12 +14,20 @@ from groundburn.functions.validity import (
 from groundburn.params import Params
 
 
-def taxi_time_quality(flights: DataFrame, variable: str, p: Params) -> DataFrame:
-    """Distribution of one taxi column per year, cap not applied."""
+def taxi_histogram(flights: DataFrame) -> DataFrame:
+    """Rows per year, taxi column and minute."""
+    return Q.histogram(flights, ["Year"], ["TaxiOut", "TaxiIn"])
+
+
+def taxi_time_quality(histogram: DataFrame, variable: str, p: Params) -> DataFrame:
+    """Distribution of one taxi column per year, cap not applied.
+
+    Takes :func:`taxi_histogram`.
+    """
     value, rows = F.col(Q.VALUE), F.col(Q.WEIGHT)
     above = F.sum(F.when(value > p.taxi_cap, value * rows).otherwise(0.0))
     return (
-        Q.histogram(flights, ["Year"], [variable])
+        histogram.where(F.col(Q.VARIABLE) == variable)
         .groupBy(F.col("Year").alias("anio")).agg(
             F.sum(rows).alias("filas"),
             tally(value.isNull(), rows).alias("nulos"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from groundburn.functions.intermediate import materialise_all
 from groundburn.operators import coverage, taxi_quality, weather_effect
 from groundburn.operators.measures import departures
 from groundburn.params import Params
@@ -11,16 +12,26 @@ from groundburn.sinks.tables import replace_tables
 
 
 def audit_tables(flights: DataFrame, weather: DataFrame | None, p: Params) -> dict[str, DataFrame]:
-    """All audit tables, lazily. Read-only; without weather its tables are left out."""
+    """All audit tables. Without weather its tables are left out.
+
+    What feeds several tables is computed once, into the checkpoint folder.
+    """
+    shared = materialise_all({
+        "months": coverage.month_coverage(flights),
+        "repeated": coverage.repeated_keys(flights),
+        "minutes": taxi_quality.taxi_histogram(flights),
+        "profile": coverage.schema_profile(flights),
+    })
+    months, repeated, minutes, profile = shared.values()
     tables = {
-        "cobertura_anio_mes": coverage.month_coverage(flights),
-        "cobertura_resumen": coverage.coverage_summary(flights, p),
-        "esquema": coverage.schema_profile(flights),
-        "nulos_campos_criticos": coverage.null_profile(flights),
-        "duplicados_resumen": coverage.duplicate_summary(flights),
-        "duplicados_ejemplos": coverage.duplicate_examples(flights),
-        "calidad_taxiout_por_anio": taxi_quality.taxi_time_quality(flights, "TaxiOut", p),
-        "calidad_taxiin_por_anio": taxi_quality.taxi_time_quality(flights, "TaxiIn", p),
+        "cobertura_anio_mes": months,
+        "cobertura_resumen": coverage.coverage_summary(months, p),
+        "esquema": profile,
+        "nulos_campos_criticos": coverage.critical_nulls(profile),
+        "duplicados_resumen": coverage.duplicate_summary(flights, repeated),
+        "duplicados_ejemplos": coverage.duplicate_examples(repeated),
+        "calidad_taxiout_por_anio": taxi_quality.taxi_time_quality(minutes, "TaxiOut", p),
+        "calidad_taxiin_por_anio": taxi_quality.taxi_time_quality(minutes, "TaxiIn", p),
         "universos_por_anio": taxi_quality.populations_by_year(flights, p),
         "crsdeptime_clases": taxi_quality.scheduled_time_classes(flights),
         "crsdeptime_grupos24": taxi_quality.hour_24_groups(flights, p),
@@ -29,7 +40,7 @@ def audit_tables(flights: DataFrame, weather: DataFrame | None, p: Params) -> di
         "desviados_pares": taxi_quality.diversion_pairs(flights, p),
         "desviados_alcanza_destino": taxi_quality.diversion_outcome(flights, p),
         "conciliacion_universos": taxi_quality.reconciliation(flights, p),
-        "meta_ejecucion": coverage.run_summary(flights, p),
+        "meta_ejecucion": coverage.run_summary(months, p),
     }
     if weather is not None:
         tables |= {

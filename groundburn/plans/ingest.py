@@ -13,7 +13,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.functions.joins import join_sized, materialise
+from groundburn.functions.intermediate import materialise
+from groundburn.functions.joins import join_sized
 from groundburn.operators.exploration import cleaning_statistics
 from groundburn.params import Params
 from groundburn.plans.publish import emission_tables, publish

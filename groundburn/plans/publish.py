@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from groundburn.functions.joins import materialise
+from groundburn.functions.intermediate import materialise
 from groundburn.operators import contracts, emissions, savings, weather_effect
 from groundburn.operators.measures import DEPARTURE_MEASURES, departures, roll_up, segments
 from groundburn.params import Params

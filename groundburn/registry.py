@@ -19,6 +19,7 @@ from groundburn.operators import weather_effect as W
 from groundburn.operators.measures import departures, segments
 from groundburn.params import HIGH
 from groundburn.plans.publish import emission_tables
+from groundburn.schema import FLIGHT_KEY
 from groundburn.sources.archives import file_volume
 from groundburn.sources.star import STAR_PARAMS as P
 from groundburn.sources.star import star_flights, star_weather, star_weather_reports
@@ -59,6 +60,19 @@ def airport_month(spark: SparkSession, sf: str) -> DataFrame:
     return E.airport_month(segments(star_flights(spark, sf), P), P)
 
 
+def _duplicates(flights: DataFrame, key) -> DataFrame:
+    return C.duplicate_summary(flights, C.repeated_keys(flights, key))
+
+
+def _duplicate_examples(flights: DataFrame, key) -> DataFrame:
+    return C.duplicate_examples(C.repeated_keys(flights, key), key)
+
+
+def _taxi_quality(flights: DataFrame, variable: str) -> DataFrame:
+    return T.taxi_time_quality(T.taxi_histogram(flights), variable, P)
+
+
+coverage = _over_flights(C.month_coverage)
 airport_hour = _over_departures(E.airport_hour, P)
 yearly = _over_departures(E.yearly_summary, P)
 main_weather = _over_weather(W.by_main_condition, P)
@@ -111,18 +125,18 @@ QUERIES: dict[str, Query] = {
     "escenario_ahorro_universo_a": _over_departures(S.savings_population_a, P),
     "limpieza": _over_flights(X.cleaning_statistics, P),
     # Audit
-    "cobertura_anio_mes": _over_flights(C.month_coverage),
-    "cobertura_resumen": _over_flights(C.coverage_summary, P),
+    "cobertura_anio_mes": coverage,
+    "cobertura_resumen": lambda spark, sf: C.coverage_summary(coverage(spark, sf), P),
     "cobertura_diferencias": _over_flights(C.calendar_differences, P),
-    "meta_ejecucion": _over_flights(C.run_summary, P),
+    "meta_ejecucion": lambda spark, sf: C.run_summary(coverage(spark, sf), P),
     "esquema": _over_flights(C.schema_profile),
     "nulos_campos_criticos": _over_flights(C.null_profile),
-    "duplicados_resumen": _over_flights(C.duplicate_summary),
-    "duplicados_ejemplos": _over_flights(C.duplicate_examples),
-    "duplicados_resumen_ruta_dia": _over_flights(C.duplicate_summary, ROUTE_DAY),
-    "duplicados_ejemplos_ruta_dia": _over_flights(C.duplicate_examples, ROUTE_DAY),
-    "calidad_taxiout_por_anio": _over_flights(T.taxi_time_quality, "TaxiOut", P),
-    "calidad_taxiin_por_anio": _over_flights(T.taxi_time_quality, "TaxiIn", P),
+    "duplicados_resumen": _over_flights(_duplicates, FLIGHT_KEY),
+    "duplicados_ejemplos": _over_flights(_duplicate_examples, FLIGHT_KEY),
+    "duplicados_resumen_ruta_dia": _over_flights(_duplicates, ROUTE_DAY),
+    "duplicados_ejemplos_ruta_dia": _over_flights(_duplicate_examples, ROUTE_DAY),
+    "calidad_taxiout_por_anio": _over_flights(_taxi_quality, "TaxiOut"),
+    "calidad_taxiin_por_anio": _over_flights(_taxi_quality, "TaxiIn"),
     "universos_por_anio": _over_flights(T.populations_by_year, P),
     "crsdeptime_clases": _over_flights(T.scheduled_time_classes),
     "crsdeptime_grupos24": _over_flights(T.hour_24_groups, P),

@@ -22,6 +22,9 @@ def local_session(cpus: str | int = "*", app: str = "groundburn") -> SparkSessio
         .config("spark.sql.shuffle.partitions", os.environ.get("SPARK_SHUFFLE_PARTITIONS", "8"))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture on every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in REQUIRED_CONF.items():

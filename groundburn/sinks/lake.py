@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundburn.functions.files import path_exists
 from groundburn.schema import PARTITIONS
-from groundburn.sinks.tables import _file_system
 
 CONVERTED, SKIPPED = "convertido", "omitido"
 
@@ -24,11 +24,6 @@ def ledger_path(lake: str) -> str:
     return f"{lake}/ingesta"
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    fs, path = _file_system(spark, folder)
-    return fs.exists(path(folder))
-
-
 def write_months(flights: DataFrame, lake: str) -> None:
     """Replace exactly the months present in ``flights``; other months stay.
 
@@ -44,7 +39,7 @@ def write_months(flights: DataFrame, lake: str) -> None:
 
 def read_ledger(spark: SparkSession, lake: str) -> DataFrame:
     """Every archive ever looked at, with its outcome and the run it belongs to."""
-    if not _exists(spark, ledger_path(lake)):
+    if not path_exists(spark, ledger_path(lake)):
         return spark.createDataFrame([], f"{LEDGER}, run string")
     return spark.read.schema(f"{LEDGER}, run string").parquet(ledger_path(lake))
 
@@ -58,7 +53,7 @@ def write_ledger(rows: DataFrame, lake: str, run: str) -> DataFrame:
 def stored_months(spark: SparkSession, lake: str) -> DataFrame:
     """Months that have data files, from the file listing alone."""
     root = flights_path(lake)
-    if not _exists(spark, root):
+    if not path_exists(spark, root):
         return spark.createDataFrame([], "anio long, mes long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
     if not set(PARTITIONS) <= set(files.columns):

@@ -7,15 +7,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from groundburn.functions.files import file_system, path_exists
+from groundburn.functions.intermediate import for_each
 from groundburn.schema import CONTRACTS
 
 
-def _file_system(spark: SparkSession, folder: str):
-    """Hadoop file system and path class behind a folder (local, HDFS, object store)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
 def replace_tables(tables: Mapping[str, DataFrame], folder: str, file_format: str = "parquet") -> list[str]:
     """Write every table beside the old ones, then swap them in.
 
@@ -27,9 +23,12 @@ def replace_tables(tables: Mapping[str, DataFrame], folder: str, file_format: st
     spark = next(iter(tables.values())).sparkSession
     run = uuid.uuid4().hex
     staging, old = f"{folder}/_staging_{run}", f"{folder}/_old_{run}"
-    for name, table in tables.items():
+
+    def write(name: str, table: DataFrame) -> None:
         table.write.mode("errorifexists").format(file_format).option("header", True).save(f"{staging}/{name}")
-    fs, path = _file_system(spark, folder)
+
+    for_each(tables, write)
+    fs, path = file_system(spark, folder)
     fs.mkdirs(path(old))
     for name in tables:
         target = path(f"{folder}/{name}")
@@ -47,8 +46,7 @@ def _rename(fs, source, target) -> None:
 
 
 def table_exists(spark: SparkSession, folder: str, name: str) -> bool:
-    fs, path = _file_system(spark, folder)
-    return fs.exists(path(f"{folder}/{name}/_SUCCESS"))
+    return path_exists(spark, f"{folder}/{name}/_SUCCESS")
 
 
 def read_table(spark: SparkSession, folder: str, name: str, file_format: str = "parquet") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,15 +32,18 @@ def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
     """Answers saved as ``<airport>.json``, one row per day, first of equal days kept.
 
-    Each answer holds one array per measure. Days whose date cannot be read
-    are dropped, and so are answers without dates.
+    Each answer holds one array per measure; a measure it lacks is NULL. Days
+    whose date cannot be read are dropped, and so are answers without dates.
     """
+    def values(name: str) -> Column:
+        return F.coalesce(F.col(f"daily.{name}"), F.array()).alias(name)
+
     days = (
         spark.read.schema(_ANSWER).json(path, multiLine=True)
         .select(
             F.col("_metadata.file_path").alias("archivo"),
             F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("Origin"),
-            F.posexplode(F.arrays_zip("daily.time", *[f"daily.{name}" for name in ANSWER_FIELDS])),
+            F.posexplode(F.arrays_zip(values("time"), *map(values, ANSWER_FIELDS))),
         )
         .select(
             "archivo", "pos", "Origin",

@@ -38,10 +38,12 @@ def _long(one_row: DataFrame, value: str) -> DataFrame:
 
 
 def compare(expected: DataFrame, obtained: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """Match two (medida, value) tables by measure."""
-    return expected.join(obtained, "medida", "full_outer").select(
-        "medida", rnd(F.col("esperado"), 6).alias("esperado"), rnd(F.col("obtenido"), 6).alias("obtenido"),
-        _agrees(tolerance).alias("cuadra"))
+    """Match two (medida, value) tables by measure; each holds a measure once."""
+    both = expected.select("medida", "esperado").unionByName(
+        obtained.select("medida", "obtenido"), allowMissingColumns=True)
+    return both.groupBy("medida").agg(
+        rnd(F.max("esperado"), 6).alias("esperado"), rnd(F.max("obtenido"), 6).alias("obtenido"),
+    ).withColumn("cuadra", _agrees(tolerance))
 
 
 def published_figures(tables: Mapping[str, DataFrame], cleaning: DataFrame) -> DataFrame:

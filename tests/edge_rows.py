@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 from groundburn.schema import WEATHER
 
 #: Types of the flight columns the queries read, in both engines.
@@ -78,7 +80,10 @@ def load(con, flights, weather):
     con.execute("CREATE OR REPLACE TABLE clima (Origin VARCHAR, Fecha VARCHAR, precipitacion_mm DOUBLE, "
                 "nieve_cm DOUBLE, viento_max_kmh DOUBLE, temp_media_c DOUBLE)")
     if flights:
-        con.executemany(f"INSERT INTO vuelos VALUES ({', '.join('?' * len(COLUMNS))})", flights)
+        kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
+        columns = [pa.array(values, kinds[t]) for values, t in zip(zip(*flights), COLUMNS.values())]
+        rows = pa.table(columns, names=list(COLUMNS))  # noqa: F841  (read by the statement)
+        con.execute("INSERT INTO vuelos SELECT * FROM rows")
     if weather:
         con.executemany("INSERT INTO clima VALUES (?, ?, ?, ?, ?, ?)", weather)
     con.execute("CREATE OR REPLACE VIEW informes AS SELECT *, row_number() OVER () AS informe FROM clima")

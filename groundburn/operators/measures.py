@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundburn.functions.clock import hour
-from groundburn.functions.validity import both_valid, departure_valid
+from groundburn.functions.validity import arrival_valid, both_valid, departure_valid
 from groundburn.params import Params
 
 #: Additive columns of a departure row. The ``ambos`` ones are population A.
@@ -55,6 +55,19 @@ def segments(flights: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def arrivals(flights: DataFrame, p: Params) -> DataFrame:
+    """Population C as arrival segments, one row per flight."""
+    return flights.where(arrival_valid(p)).select(
+        F.col("Dest").alias("aeropuerto"), F.col("Year").alias("anio"), F.col("Month").alias("mes"),
+        F.lit("llegada").alias("lado"), F.col("TaxiIn").alias("minutos"), F.lit(1).cast("long").alias("vuelos"),
+    )
+
+
+def segments_from(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """Taxi segments from departures (flights or a roll-up) and arrivals."""
+    return departures.withColumn("lado", F.lit("salida")).select(*arrivals.columns).unionByName(arrivals)
+
+
 def roll_up(measures: DataFrame, keys: list[str], columns: tuple[str, ...] = ("vuelos", "minutos")) -> DataFrame:
     """Sum additive columns per key."""
     return measures.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])

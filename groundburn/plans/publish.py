@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from groundburn.functions.intermediate import materialise
 from groundburn.operators import contracts, emissions, savings, weather_effect
-from groundburn.operators.measures import DEPARTURE_MEASURES, departures, roll_up, segments
+from groundburn.operators.measures import DEPARTURE_MEASURES, arrivals, departures, roll_up, segments_from
 from groundburn.params import Params
 from groundburn.sinks.tables import replace_tables
 
@@ -31,7 +31,7 @@ def emission_tables(flights: DataFrame, weather: DataFrame, p: Params) -> dict[s
     daily = departure_roll_up(flights, p)
     return {
         "resumen_global": emissions.yearly_summary(daily, p),
-        "co2_aeropuerto_mes": emissions.airport_month(segments(flights, p), p),
+        "co2_aeropuerto_mes": emissions.airport_month(segments_from(daily, arrivals(flights, p)), p),
         "co2_aeropuerto_hora": emissions.airport_hour(daily, p),
         "rodaje_clima": weather_effect.by_main_condition(daily, weather, p),
         "rodaje_clima_independiente": weather_effect.by_each_condition(daily, weather, p),

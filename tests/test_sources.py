@@ -8,9 +8,9 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from groundburn.operators import emissions, savings, weather_effect
 from groundburn.operators.contracts import contract_check, to_contract
-from groundburn.operators.emissions import yearly_summary
-from groundburn.operators.measures import departures
+from groundburn.operators.measures import departures, segments
 from groundburn.params import Params
 from groundburn.plans.audit import audit, audit_tables
 from groundburn.plans.publish import emission_tables, publish
@@ -94,10 +94,18 @@ def test_published_tables_come_back_with_contract_types(spark, flights, weather,
 
 
 def test_shared_roll_up_changes_nothing(flights, weather):
-    """The batch reads a roll-up, the single query reads flights: same table."""
+    """The batch reads a roll-up, the single queries read flights: same tables."""
     p = replace(STAR_PARAMS, ranking_floor=10)
-    batch = emission_tables(flights, weather, p)["resumen_global"]
-    assert _values({"r": batch}) == _values({"r": yearly_summary(departures(flights, p), p)})
+    batch, one_by_one = emission_tables(flights, weather, p), departures(flights, p)
+    assert _values(batch) == _values({
+        "resumen_global": emissions.yearly_summary(one_by_one, p),
+        "co2_aeropuerto_mes": emissions.airport_month(segments(flights, p), p),
+        "co2_aeropuerto_hora": emissions.airport_hour(one_by_one, p),
+        "rodaje_clima": weather_effect.by_main_condition(one_by_one, weather, p),
+        "rodaje_clima_independiente": weather_effect.by_each_condition(one_by_one, weather, p),
+        "escenario_ahorro": savings.savings(one_by_one, p),
+        "benchmark_salida": emissions.departure_groups(one_by_one),
+    })
 
 
 def test_failed_run_leaves_the_published_tables(spark, tmp_path):

@@ -30,14 +30,15 @@ from groundburn.sources.flights import read_flights
 _MONTH = ["anio", "mes"]
 
 
-def _judged(archives: DataFrame, lake: str) -> DataFrame:
+def _judged(archives: DataFrame, lake: str, run: str) -> DataFrame:
     """One row per archive with its final outcome.
 
-    Of several sound archives for one month the first by name is taken.
+    Of several sound archives for one month the first by name is taken. What
+    this very run recorded before it was repeated does not count as finished.
     """
     spark = archives.sparkSession
     inspected = materialise(inspect_archives(archives))
-    finished = finished_months(spark, lake).withColumn("hecho", F.lit(True))
+    finished = finished_months(spark, lake, run).withColumn("hecho", F.lit(True))
     first = (
         inspected.where(F.col("estado") == VALID).groupBy(*_MONTH).agg(F.min("archivo").alias("elegido"))
     )
@@ -54,11 +55,11 @@ def _judged(archives: DataFrame, lake: str) -> DataFrame:
 def convert(archives: DataFrame, lake: str, run: str) -> DataFrame:
     """Convert a set of (archivo, content) rows; the report of the run.
 
-    The months are written before the ledger: a run that dies in between is
-    simply repeated, with the same result.
+    The months are written before the ledger. A run that dies can be repeated
+    under its name at any point, with the same result.
     """
     spark = archives.sparkSession
-    judged = materialise(_judged(archives, lake))
+    judged = materialise(_judged(archives, lake, run))
     accepted = judged.where(F.col("estado") == CONVERTED)
     write_months(read_flight_archives(
         join_sized(archives, accepted.select("archivo"), ["archivo"], "left_semi")), lake)

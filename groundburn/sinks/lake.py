@@ -61,7 +61,8 @@ def stored_months(spark: SparkSession, lake: str) -> DataFrame:
     return files.select(*[F.col(c).cast("long").alias(name) for c, name in zip(PARTITIONS, ("anio", "mes"))]).distinct()
 
 
-def finished_months(spark: SparkSession, lake: str) -> DataFrame:
-    """Months recorded as converted whose files are still there."""
-    recorded = read_ledger(spark, lake).where(F.col("estado") == CONVERTED).select("anio", "mes").distinct()
+def finished_months(spark: SparkSession, lake: str, apart_from: str = "") -> DataFrame:
+    """Months recorded as converted, by any run but one, whose files are still there."""
+    converted = (F.col("estado") == CONVERTED) & (F.col("run") != apart_from)
+    recorded = read_ledger(spark, lake).where(converted).select("anio", "mes").distinct()
     return recorded.join(stored_months(spark, lake), ["anio", "mes"], "left_semi")

@@ -44,8 +44,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _number(condition: Column) -> Column:
-    return F.when(condition, 1.0).otherwise(0.0)
+_CANCELLED = "(l_orderkey + l_partkey) % 73 = 0"
+_DIVERTED = "l_orderkey % 97 = 1"
+_DELAY = "l_partkey % 120 - 55 + l_quantity"
+
+#: A flight leg from a line item and its joined names.
+_LEG = (
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS FlightDate",
+    "CAST(year(l_shipdate) AS BIGINT) AS Year",
+    "CAST(month(l_shipdate) AS BIGINT) AS Month",
+    "CAST(weekday(l_shipdate) + 1 AS BIGINT) AS DayOfWeek",
+    "concat(l_returnflag, l_linestatus) AS Reporting_Airline",
+    "l_partkey AS Flight_Number_Reporting_Airline",
+    "Origin",
+    "Dest",
+    "if((l_orderkey * 31 + l_partkey) % 499 = 0, 2400L, "
+    "((l_orderkey * 7 + l_linenumber * 5) % 24) * 100 + (l_partkey * 13) % 60) AS CRSDepTime",
+    f"CASE WHEN {_CANCELLED} THEN NULL WHEN (l_partkey * 3 + l_suppkey) % 97 = 0 AND l_quantity > 40 "
+    "THEN 181 + l_quantity ELSE 5 + l_quantity END AS TaxiOut",
+    f"CASE WHEN {_CANCELLED} OR l_partkey % 211 = 0 THEN NULL WHEN l_orderkey % 887 = 0 "
+    "THEN 181 + l_quantity ELSE CAST(2 + (l_suppkey * 7 + l_linenumber) % 20 AS DOUBLE) END AS TaxiIn",
+    f"if({_CANCELLED}, 1D, 0D) AS Cancelled",
+    f"if({_DIVERTED}, 1D, 0D) AS Diverted",
+    f"if({_DIVERTED}, if(l_partkey % 10 <> 0, 1D, 0D), NULL) AS DivReachedDest",
+    f"if({_DIVERTED}, alternate_name, NULL) AS Div1Airport",
+    f"if({_CANCELLED}, NULL, CAST(l_partkey % 120 - 30 AS DOUBLE)) AS DepDelay",
+    f"if({_CANCELLED}, NULL, {_DELAY}) AS ArrDelay",
+    f"if({_CANCELLED}, NULL, if({_DELAY} >= 15, 1D, 0D)) AS ArrDel15",
+    "CAST(100 + (l_partkey * 37) % 2500 AS DOUBLE) AS Distance",
+)
 
 
 def _side(spark: SparkSession, sf_dir: str, df: DataFrame, *tables: str) -> DataFrame:
@@ -84,39 +111,7 @@ def star_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_side(spark, sf_dir, orders, "orders", "customer", "nation"), "l_orderkey")
     )
 
-    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line, minutes = F.col("l_linenumber"), F.col("l_quantity")
-    day = F.col("l_shipdate").cast("date")
-    cancelled = (order + part) % 73 == 0
-    diverted = order % 97 == 1
-    delay = part % 120 - 55 + minutes
-
-    return legs.select(
-        day.cast("string").alias("FlightDate"),
-        F.year(day).cast("long").alias("Year"),
-        F.month(day).cast("long").alias("Month"),
-        (F.weekday(day) + 1).cast("long").alias("DayOfWeek"),
-        F.concat("l_returnflag", "l_linestatus").alias("Reporting_Airline"),
-        part.alias("Flight_Number_Reporting_Airline"),
-        "Origin",
-        "Dest",
-        F.when((order * 31 + part) % 499 == 0, F.lit(2400).cast("long"))
-        .otherwise(((order * 7 + line * 5) % 24) * 100 + (part * 13) % 60).alias("CRSDepTime"),
-        F.when(cancelled, None)
-        .when(((part * 3 + supp) % 97 == 0) & (minutes > 40), minutes + 181)
-        .otherwise(minutes + 5).alias("TaxiOut"),
-        F.when(cancelled | (part % 211 == 0), None)
-        .when(order % 887 == 0, minutes + 181)
-        .otherwise(((supp * 7 + line) % 20 + 2).cast("double")).alias("TaxiIn"),
-        _number(cancelled).alias("Cancelled"),
-        _number(diverted).alias("Diverted"),
-        F.when(diverted, _number(part % 10 != 0)).alias("DivReachedDest"),
-        F.when(diverted, F.col("alternate_name")).alias("Div1Airport"),
-        F.when(~cancelled, (part % 120 - 30).cast("double")).alias("DepDelay"),
-        F.when(~cancelled, delay).alias("ArrDelay"),
-        F.when(~cancelled, _number(delay >= 15)).alias("ArrDel15"),
-        ((part * 37) % 2500 + 100).cast("double").alias("Distance"),
-    )
+    return legs.selectExpr(*_LEG)
 
 
 def _with_measures(days: DataFrame, *more: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import groundburn.registry as registry
 from checks.compare import connect, differences

@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 
 from groundburn.params import Params
-from groundburn.plans.ingest import ingest, run_flow
+from groundburn.plans.ingest import convert, ingest, run_flow
 from groundburn.schema import REQUIRED
 from groundburn.sinks.lake import flights_path
 from groundburn.sinks.tables import read_published
@@ -145,6 +145,15 @@ def test_stream_converts_each_archive_once(spark, landed, tmp_path):
     assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1, (2023, 5): 1}
 
 
+def test_a_repeated_run_has_the_same_outcome(spark, landed, tmp_path):
+    lake, paths = str(tmp_path / "lake"), [str(f) for f in landed.glob("*.zip")]
+    first, again = (_report(convert(read_archives(spark, paths), lake, "flujo-0")) for _ in range(2))
+    assert first == again and first["2023_1.zip"][:2] == ("convertido", 3)
+    assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1}
+    assert {state for state, _, _ in _report(convert(read_archives(spark, paths), lake, "flujo-1")).values()} == {
+        "omitido", "zip_corrupto", "esquema_incompleto"}
+
+
 def test_volume(spark, landed):
     files = sorted(landed.glob("*.zip"))
     listed = file_volume(spark, str(landed)).first()

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from groundburn.operators import emissions, savings, weather_effect
 from groundburn.operators.contracts import contract_check, to_contract
 from groundburn.operators.measures import departures, segments
-from groundburn.params import Params
 from groundburn.plans.audit import audit, audit_tables
 from groundburn.plans.publish import emission_tables, publish
 from groundburn.schema import CONTRACTS, FLIGHT, WEATHER

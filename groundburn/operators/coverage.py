@@ -151,7 +151,10 @@ def repeated_keys(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFr
     counted under a 64-bit hash, and only those sharing a hash are grouped by
     the key itself, which also settles accidental collisions.
     """
-    hashed = flights.select(*key, F.xxhash64(*key).alias("_h"))
+    kinds = dict(flights.select(*key).dtypes)
+    # Equal keys must hash alike: grouping takes -0.0 and 0.0 for the same number.
+    alike = [F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c) for c in key]
+    hashed = flights.select(*key, F.xxhash64(*alike).alias("_h"))
     shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
     return (
         join_sized(hashed, shared, ["_h"], "left_semi").groupBy(*key)

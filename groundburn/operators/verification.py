@@ -6,9 +6,9 @@ nothing is taken from the route under test.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from groundburn.functions.clock import hour
@@ -22,6 +22,29 @@ from groundburn.sources.flights import one_month
 TOLERANCE = 0.6
 
 
+# Figures known for all US flights of 2023-2025 at the default
+# parameters, and the ten airports with most departure CO2 (low scenario, t).
+KNOWN_FIGURES = {
+    "filas": 20_928_579,
+    "taxiout_nulo": 285_189,
+    "taxiin_nulo": 292_087,
+    "vuelos_validos": 20_636_222,
+    "vuelos_en_resumen": 20_636_222,
+    "horas_salida": 6_187_796,
+    "horas_llegada": 2_869_540,
+    "horas_total": 9_057_336,
+    "co2_t_bajo": 10_303_625,
+    "co2_t_alto": 20_607_251,
+    "grupo_hora_24_cast": 59_378,
+    "taxiout_media": 17.99,
+    "taxiin_media": 8.35,
+}
+KNOWN_RANKING = (
+    ("ORD", 392_002), ("DFW", 335_161), ("DEN", 321_352), ("ATL", 306_815), ("CLT", 239_863),
+    ("LGA", 206_315), ("SEA", 198_740), ("LAX", 196_097), ("LAS", 192_275), ("JFK", 181_070),
+)
+
+
 class VerificationError(AssertionError):
     """A published figure does not match its re-computation."""
 
@@ -84,13 +107,27 @@ def recomputed_figures(flights: DataFrame, p: Params) -> DataFrame:
     ), "esperado")
 
 
-def pinned(spark, figures: Mapping[str, float]) -> DataFrame:
+def pinned(spark: SparkSession, figures: Mapping[str, float]) -> DataFrame:
     """Known-good numbers as an expected table."""
     return spark.createDataFrame([(k, float(v)) for k, v in figures.items()], "medida string, esperado double")
 
 
-def verify_ranking(airport_month: DataFrame, flights: DataFrame, p: Params, top: int = 10) -> DataFrame:
-    """Top departure airports from the published table against the flights, place by place.
+def ranking(flights: DataFrame, p: Params, top: int = 10) -> DataFrame:
+    """Top departure airports straight from the flights: (aeropuerto, t)."""
+    return (
+        flights.where(departure_valid(p)).groupBy(F.col("Origin").alias("aeropuerto"))
+        .agg(rnd(co2_tonnes(F.sum("TaxiOut"), p.fuel_low, p)).alias("t"))
+        .orderBy(F.desc("t"), F.asc_nulls_last("aeropuerto")).limit(top)
+    )
+
+
+def pinned_ranking(spark: SparkSession, places: Sequence[tuple[str, float]]) -> DataFrame:
+    """A known ranking as an expected table."""
+    return spark.createDataFrame([(a, float(t)) for a, t in places], "aeropuerto string, t double")
+
+
+def verify_ranking(airport_month: DataFrame, expected: DataFrame, top: int = 10) -> DataFrame:
+    """Top departure airports of the published table against an expected ranking, place by place.
 
     The order follows tonnes rounded to units, then the name.
     """
@@ -101,12 +138,7 @@ def verify_ranking(airport_month: DataFrame, flights: DataFrame, p: Params, top:
             "puesto", F.col("aeropuerto").alias(f"aeropuerto_{suffix}"), F.col("t").alias(suffix))
 
     published = top_departure_airports(airport_month, LOW, top).withColumnRenamed("co2_salida_t", "t")
-    direct = (
-        flights.where(departure_valid(p)).groupBy(F.col("Origin").alias("aeropuerto"))
-        .agg(rnd(co2_tonnes(F.sum("TaxiOut"), p.fuel_low, p)).alias("t"))
-        .orderBy(F.desc("t"), F.asc_nulls_last("aeropuerto")).limit(top)
-    )
-    return placed(direct, "esperado").join(placed(published, "obtenido"), "puesto", "full_outer").select(
+    return placed(expected, "esperado").join(placed(published, "obtenido"), "puesto", "full_outer").select(
         "puesto", "aeropuerto_esperado", "aeropuerto_obtenido", "esperado", "obtenido",
         (F.col("aeropuerto_esperado").eqNullSafe(F.col("aeropuerto_obtenido")) & _agrees(TOLERANCE)).alias("cuadra"),
     )

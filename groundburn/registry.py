@@ -210,7 +210,8 @@ QUERIES: dict[str, Query] = {
     "conteo_publicado": lambda spark, sf: K.row_counts(published(spark, sf)),
     "volumen_entrada": lambda spark, sf: file_volume(spark, sf, "*.parquet"),
     "verificacion_exactitud": _accuracy,
-    "verificacion_top10": lambda spark, sf: V.verify_ranking(airport_month(spark, sf), star_flights(spark, sf), P),
+    "verificacion_top10":
+        lambda spark, sf: V.verify_ranking(airport_month(spark, sf), V.ranking(star_flights(spark, sf), P)),
     "verificacion_mes": _over_flights(V.verify_month, *CHECK_MONTH, P),
     "verificacion_cruzada": _routes,
 }

@@ -92,6 +92,31 @@ def test_verification_passes_and_fails(data, spark):
         verification.require_all(verification.compare(verification.pinned(spark, {**right, "no_such": 1.0}), obtained))
 
 
+def _months(spark, places):
+    """A published table whose departure CO2 adds up to the given tonnes."""
+    return spark.createDataFrame([(a, t * share) for a, t in places for share in (0.25, 0.75)] + [("ZZZ", 5.0)],
+                                 "aeropuerto string, co2_t_bajo_salida double")
+
+
+def test_known_ranking(spark):
+    expected = verification.pinned_ranking(spark, verification.KNOWN_RANKING)
+    checks = verification.verify_ranking(_months(spark, verification.KNOWN_RANKING), expected)
+    assert checks.count() == 10
+    verification.require_all(checks)
+    swapped = [("DFW", 392_002), ("ORD", 335_161), *verification.KNOWN_RANKING[2:]]
+    with pytest.raises(verification.VerificationError, match="ORD"):
+        verification.require_all(verification.verify_ranking(_months(spark, swapped), expected))
+    with pytest.raises(verification.VerificationError, match="JFK"):
+        verification.require_all(verification.verify_ranking(
+            _months(spark, verification.KNOWN_RANKING[:-1]), expected))
+
+
+def test_known_figures_name_every_published_figure(spark, data):
+    flights, _ = data
+    names = {r.medida for r in verification.recomputed_figures(flights, P).collect()}
+    assert names == set(verification.KNOWN_FIGURES)
+
+
 # Measured independently on the test tables: rows, populations A / B / C,
 # false hour 24, 2400 rows in B, diverted that reached / did not reach.
 MEASURED = {

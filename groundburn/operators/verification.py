@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from groundburn.functions.clock import hour
 from groundburn.functions.numeric import co2_tonnes, hours, rnd, tally
 from groundburn.functions.validity import both_valid, departure_valid, false_hour_24
+from groundburn.operators.measures import segments
 from groundburn.operators.serving import top_departure_airports
 from groundburn.params import LOW, Params
 from groundburn.sources.flights import one_month
@@ -113,10 +114,13 @@ def pinned(spark: SparkSession, figures: Mapping[str, float]) -> DataFrame:
 
 
 def ranking(flights: DataFrame, p: Params, top: int = 10) -> DataFrame:
-    """Top departure airports straight from the flights: (aeropuerto, t)."""
+    """Top departure airports straight from the flights: (aeropuerto, t).
+
+    An airport with arrivals only is published too, with no departure CO2.
+    """
+    minutes = F.sum(F.when(F.col("lado") == "salida", F.col("minutos")).otherwise(0.0))
     return (
-        flights.where(departure_valid(p)).groupBy(F.col("Origin").alias("aeropuerto"))
-        .agg(rnd(co2_tonnes(F.sum("TaxiOut"), p.fuel_low, p)).alias("t"))
+        segments(flights, p).groupBy("aeropuerto").agg(rnd(co2_tonnes(minutes, p.fuel_low, p)).alias("t"))
         .orderBy(F.desc("t"), F.asc_nulls_last("aeropuerto")).limit(top)
     )
 

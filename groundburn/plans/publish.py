@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from groundburn.functions.intermediate import materialise
-from groundburn.operators import contracts, emissions, savings, weather_effect
+from groundburn.operators import contracts, emissions, savings, verification, weather_effect
+from groundburn.operators.exploration import cleaning_statistics
 from groundburn.operators.measures import DEPARTURE_MEASURES, arrivals, departures, roll_up, segments_from
 from groundburn.params import Params
 from groundburn.sinks.tables import replace_tables
@@ -44,3 +45,18 @@ def publish(tables: Mapping[str, DataFrame], folder: str, file_format: str = "pa
     """Write the tables to contract; nothing is replaced unless all of them were computed."""
     return replace_tables(
         {name: contracts.to_contract(name, table) for name, table in tables.items()}, folder, file_format)
+
+
+def verify_published(flights: DataFrame, tables: Mapping[str, DataFrame], p: Params) -> DataFrame:
+    """Re-compute the headline figures and the ranking from the flights.
+
+    Returns the checks; raises :class:`VerificationError` if one fails.
+    """
+    checks = verification.compare(
+        verification.recomputed_figures(flights, p),
+        verification.published_figures(tables, cleaning_statistics(flights, p)),
+    )
+    verification.require_all(checks)
+    verification.require_all(
+        verification.verify_ranking(tables["co2_aeropuerto_mes"], verification.ranking(flights, p)))
+    return checks

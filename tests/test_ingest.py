@@ -7,6 +7,8 @@ from dataclasses import replace
 
 import pytest
 
+from groundburn.__main__ import run
+from groundburn.operators.verification import VerificationError
 from groundburn.params import Params
 from groundburn.plans.ingest import convert, ingest, run_flow
 from groundburn.schema import REQUIRED
@@ -181,3 +183,21 @@ def test_flow_publishes_over_the_whole_lake(spark, landed, tmp_path):
     assert (year.anio, year.vuelos) == (2023, 2)
     assert (year.co2_t_bajo, year.co2_t_alto) == (0.398, 1.593)
     assert [tuple(r) for r in tables["rodaje_clima"].collect()] == [("nieve", 1, 15.0)]
+
+
+def test_jobs_from_the_command_line(spark, landed, tmp_path):
+    weather = tmp_path / "weather.csv"
+    weather.write_text("Origin,Fecha,precipitacion_mm,nieve_cm,viento_max_kmh,temp_media_c\nATL,2023-01-01,9,0,1,1\n")
+    lake, out = str(tmp_path / "lake"), str(tmp_path / "out")
+    assert run(spark, ["ingest", "--archives", str(landed), "--lake", lake]).count() == 4
+    where = ["--lake", lake, "--weather", str(weather)]
+    assert len(run(spark, ["publish", *where, "--out", out, "--format", "csv"])) == 7
+    assert len(run(spark, ["audit", *where, "--out", f"{out}/audit", "--format", "csv"])) == 20
+    verdicts = run(spark, ["check", "--out", out, "--format", "csv"]).collect()
+    assert [v.tabla for v in verdicts if not v.ok] == []
+    assert run(spark, ["verify", "--lake", lake, "--out", out, "--format", "csv"]).count() == 13
+    with pytest.raises(VerificationError, match="co2_t_bajo"):
+        run(spark, ["verify", "--lake", lake, "--out", out, "--format", "csv", "--fuel-low", "600"])
+    assert run(spark, ["stream", "--archives", str(landed), "--lake", lake, "--checkpoint", str(tmp_path / "c")]) is None
+    with pytest.raises(SystemExit):
+        run(spark, ["publish", "--lake", lake])

@@ -25,7 +25,10 @@ def data(request, spark):
     else:
         sf = request.getfixturevalue("sf")
         pair = star_flights(spark, sf), star_weather(spark, sf)
-    return tuple(df.persist() for df in pair)
+    kept = tuple(df.persist() for df in pair)
+    yield kept
+    for df in kept:
+        df.unpersist()
 
 
 def test_validity_classes_partition_the_rows(data):

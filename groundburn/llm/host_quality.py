@@ -61,12 +61,13 @@ def with_features(docs: DataFrame, text: str = "text", rules: HostRules = HostRu
     if width & (width - 1):
         raise ValueError("window must be a power of two")
     out = docs.withColumn("_words", F.filter(F.split(body, f"{SPACE_CLASS}+"), lambda w: w != ""))
-    hashed = F.transform(F.col("_words"), lambda w: F.xxhash64(w))
+    # A column for each step: inside one expression every use of an array would compute it again.
+    out = out.withColumn("_windows", F.transform(F.col("_words"), lambda w: F.xxhash64(w)))
     step = 1
     while step < width:
-        hashed, step = _pairs_hashed(hashed, step), step * 2
+        out, step = out.withColumn("_windows", _pairs_hashed(F.col("_windows"), step)), step * 2
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = out.withColumn("_windows", hashed).withColumn("_lines", lines)
+    out = out.withColumn("_lines", lines)
     repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
     return out.select(
         *[F.col(c) for c in docs.columns],

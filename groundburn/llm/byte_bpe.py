@@ -34,7 +34,7 @@ class BpeRules:
     ranks: str                     # file of base64 tokens and ranks, at the same path on every machine
     pattern: str                   # cuts a text into pieces that merge on their own
     long_piece: int = 128          # bytes; a longer piece would take as many rounds, it merges by a heap
-    cached: int = 500_000          # pieces, and runs of ids, that a worker keeps
+    cached: int = 450_000          # pieces, and runs of ids, in each of a cache's two generations
     query_rows: int = 200_000      # rows that one query starts with, about
     memory_mb: int = 300           # of one worker's DuckDB
 
@@ -67,6 +67,22 @@ FROM start s JOIN vocabulary v USING (id) GROUP BY s.run ORDER BY s.run
 """
 
 
+class _Cache:
+    """Results in two generations: what was asked for lately outlives a full cache."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that neither generation has; all others are in ``new`` afterwards."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        unseen = keys - self.new.keys()
+        kept = unseen & self.old.keys()
+        self.new.update((k, self.old[k]) for k in kept)
+        return list(unseen - kept)
+
+
 class Codec:
     """One worker's tables, connection and caches."""
 
@@ -76,8 +92,7 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, lines))}
         self.pattern = regex.compile(rules.pattern)
         self.single = [self.ranks[bytes([b])] for b in range(256)]
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        self.known, self.runs = _Cache(rules.cached), _Cache(rules.cached)
         size = max(self.ranks.values()) + 1
         self.decimal = [b"%d" % i for i in range(size)]
         #: Ids at which a run may begin: those of tokens that begin with a space.
@@ -110,9 +125,9 @@ class Codec:
             token = piece.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(token)
             if rank is not None:
-                self.known[piece] = rank.to_bytes(4, "little")
+                self.known.new[piece] = rank.to_bytes(4, "little")
             elif len(token) > self.rules.long_piece:
-                self.known[piece] = np.array(self._merged(token), dtype="<u4").tobytes()
+                self.known.new[piece] = np.array(self._merged(token), dtype="<u4").tobytes()
             else:
                 waiting.append(piece)
                 rows += len(token)
@@ -138,7 +153,7 @@ class Codec:
         values = found.values.to_numpy().astype("<u4")
         offsets = found.offsets.to_numpy()
         for k, piece in enumerate(pieces):
-            self.known[piece] = values[offsets[k]:offsets[k + 1]].tobytes()
+            self.known.new[piece] = values[offsets[k]:offsets[k + 1]].tobytes()
 
     def _merged(self, token: bytes) -> list[int]:
         """The same contraction for one long piece: a heap of pairs over a linked list."""
@@ -172,12 +187,8 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [self.pattern.findall(t) for t in texts]
-        unseen = {p for pieces in cut for p in pieces if p not in self.known}
-        if len(self.known) + len(unseen) > self.rules.cached:
-            self.known.clear()
-            unseen = {p for pieces in cut for p in pieces}
-        self.learn(unseen)
-        known = self.known.__getitem__
+        self.learn(self.known.missing(set().union(*cut)))
+        known = self.known.new.__getitem__
         return [np.frombuffer(b"".join(map(known, pieces)), dtype="<u4") for pieces in cut]
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
@@ -188,10 +199,7 @@ class Codec:
             data = np.ascontiguousarray(ids, dtype="<u4").tobytes()
             edges = [0, *at[at > 0].tolist(), len(data)]
             cut.append([data[a:b] for a, b in zip(edges, edges[1:])] if data else [])
-        unseen = list({run for runs in cut for run in runs if run not in self.runs})
-        if len(self.runs) + len(unseen) > self.rules.cached:
-            self.runs.clear()
-            unseen = list({run for runs in cut for run in runs})
+        unseen = self.runs.missing(set().union(*cut))
         asked, rows = [], 0
         for run in unseen:
             asked.append(run)
@@ -201,7 +209,7 @@ class Codec:
                 asked, rows = [], 0
         if asked:
             self._decode(asked)
-        return [b"".join(map(self.runs.__getitem__, runs)) for runs in cut]
+        return [b"".join(map(self.runs.new.__getitem__, runs)) for runs in cut]
 
     def _decode(self, runs: list[bytes]) -> None:
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
@@ -209,7 +217,7 @@ class Codec:
         found = self._asked(_DECODE, pa.table({
             "run": np.repeat(np.arange(len(runs)), sizes), "pos": np.arange(len(ids)), "id": ids}))
         for run, hexed in zip(runs, found.column("hex").to_pylist(), strict=True):
-            self.runs[run] = bytes.fromhex(hexed)
+            self.runs.new[run] = bytes.fromhex(hexed)
 
 
 @lru_cache(maxsize=1)

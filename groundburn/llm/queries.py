@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.llm import byte_bpe, host_quality, language_id, sharding, wu_manber
+from groundburn.llm import byte_bpe, chat, host_quality, language_id, sharding, token_records, wu_manber
 from groundburn.llm.base import id_remainder, table
 
 BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
+WORD_BPE = token_records.RecordRules(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), BYTE_BPE, keep=["doc_id"])
@@ -23,6 +25,20 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    added = spark.createDataFrame(
+        [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+        "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chat.digests(chat.read_back(chat.formatted(turns)))
+
+
+def op7_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    path = token_records.fresh_path(spark)
+    files = token_records.written(table(spark, folder, "documents"), path, WORD_BPE)
+    return token_records.read_back(files, path, WORD_BPE)
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = wu_manber.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
     return found.select(
@@ -42,4 +58,4 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_byte_bpe, op5_sharding, op8_decontamination, op9_host_quality, op10_language_id)}
+    op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id)}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.llm import byte_bpe, host_quality, language_id, wu_manber
+from groundburn.llm import byte_bpe, host_quality, language_id, near_dup, wu_manber
 from groundburn.llm.base import staged, table
 from groundburn.llm.queries import BYTE_BPE
 
@@ -30,6 +30,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     return host_quality.judged_by_host(docs).where("kept").select(*docs.columns)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keeps the first document, by id, of each class of near duplicates."""
+    return near_dup.without_copies(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps documents without a window of any benchmark item."""
     found = wu_manber.contamination(docs, table(spark, folder, "benchmark"))
@@ -44,6 +49,7 @@ def tokenized(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES = [
     ("language", known_language),
     ("quality", good_quality),
+    ("near-duplicates", distinct),
     ("decontamination", decontaminated),
     ("tokens", tokenized),
 ]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.llm import byte_bpe, chat, host_quality, language_id, sharding, token_records, wu_manber
+from groundburn.llm import byte_bpe, chat, host_quality, language_id, near_dup, sharding, token_records, wu_manber
 from groundburn.llm.base import id_remainder, table
 
 BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -14,6 +14,11 @@ BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), pu
 WORD_BPE = token_records.RecordRules(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dup.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), BYTE_BPE, keep=["doc_id"])
 
@@ -58,4 +63,4 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id)}
+    op3_near_duplicates, op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id)}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.llm import byte_bpe, chat, class_ngram, host_quality, language_id, near_dup, sharding, token_records, wu_manber
+from groundburn.llm import byte_bpe, chat, class_ngram, host_quality, html_blocks, language_id, near_dup, sharding, token_records, wu_manber
 from groundburn.llm.base import id_remainder, table
 
 BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -14,6 +14,10 @@ BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), pu
 WORD_BPE = token_records.RecordRules(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op1_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.extracted(table(spark, folder, "pages"), html_blocks.trained(), keep=["page_id", "url"])
+
+
 def op2_class_ngram(spark: SparkSession, folder: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 5) == 1
     return class_ngram.scored(table(spark, folder, "documents"), held_out, keep=["doc_id"])
@@ -68,4 +72,4 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_class_ngram, op3_near_duplicates, op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id)}
+    op1_html_blocks, op2_class_ngram, op3_near_duplicates, op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id)}

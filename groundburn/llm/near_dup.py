@@ -13,9 +13,10 @@ only shingles that frequent have to be known when weighing, and no more than
 
 Equal texts are one node. In a bucket every text is first compared with a
 leader of its own for that band. Where a bucket then still spans several
-classes, its texts of different classes are compared too, so no link between
-texts that share a band is lost, and a group of copies costs one comparison for
-each text, not one for each pair.
+classes, its texts are compared across the classes too, in tiles of bounded
+size whose pairs are never emitted, only the links that join classes. So no
+link between texts that share a band is lost, and a group of copies costs one
+comparison for each text.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ class NearDupRules:
     samples: int = 3
     rare: int = 1000            # one document in so many, and fewer, all weigh the same
     chunk: int = 100_000        # shingles sampled at a time
+    tile: int = 400             # texts of a bucket compared in one place
     count_chunk: int = 3_000_000  # shingles of a task counted before they are sent on
 
 
@@ -141,13 +143,14 @@ class Weights:
         share = np.log(np.maximum(counts * rare / max(n_docs, 1), 1)) / np.log(rare)
         self.idf = np.append(2 - np.minimum(share, 1), 2.0)
 
-    def vector(self, shingle_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, shingle_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, weights and counts."""
         ids, tf = np.unique(shingle_ids, return_counts=True)
         at = np.searchsorted(self.ids, ids)
-        return ids, tf * np.where(self.ids[at] == ids, self.idf[at], 2.0)
+        return ids, tf * np.where(self.ids[at] == ids, self.idf[at], 2.0), tf
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+def weighted_jaccard(a: tuple, b: tuple) -> float:
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     shared = np.minimum(a[1][i], b[1][j]).sum()
     whole = a[1].sum() + b[1].sum() - shared
@@ -169,7 +172,7 @@ class Sampler:
         self.gamma, self.log_gamma, self.uniform = x, np.log(x), u
         self.seeds = mixed(np.arange(1, rules.bands * rules.samples + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def bands(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    def bands(self, vectors: list[tuple]) -> np.ndarray:
         """Hashes of the bands, a row for each vector; none may be empty."""
         sizes = np.array([len(v[0]) for v in vectors])
         starts = np.cumsum(sizes) - sizes
@@ -248,6 +251,94 @@ def _linked(pairs: DataFrame, texts: DataFrame, weights, rules: NearDupRules) ->
     return staged(in_arrow(met.select("a", "b", "text_a", "text_b"), run, "a string, b string"), "links")
 
 
+def close_pairs(vectors: list, roots: list, least: float) -> list[tuple[int, int]]:
+    """Pairs of vectors, enough to join all that are alike across roots.
+
+    All pairs' common weight comes from products of matrices over the
+    (shingle, repeat) items that two vectors or more have.
+    """
+    parent = {r: r for r in roots}
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    out: list[tuple[int, int]] = []
+    n = len(vectors)
+    if n <= 4:
+        near = [(i, j) for i in range(n) for j in range(i + 1, n)]
+    else:
+        spread = [_items(v) for v in vectors]
+        items, at, count = np.unique(np.concatenate([x[0] for x in spread]), return_inverse=True, return_counts=True)
+        rank = np.cumsum(count > 1) - 1
+        row = np.repeat(np.arange(n), [len(x[0]) for x in spread])
+        unit = np.concatenate([x[1] for x in spread])
+        both = count[at] > 1
+        col, row, unit = rank[at[both]], row[both], np.sqrt(unit[both])
+        common, step = np.zeros((n, n)), max(1, 4_000_000 // n)
+        order = np.argsort(col, kind="stable")
+        col, row, unit = col[order], row[order], unit[order]
+        for low in range(0, int(rank[-1]) + 1, step):
+            a, b = np.searchsorted(col, [low, low + step])
+            part = np.zeros((n, min(step, int(rank[-1]) + 1 - low)))
+            part[row[a:b], col[a:b] - low] = unit[a:b]
+            common += part @ part.T
+        weight = np.array([v[1].sum() for v in vectors])
+        alike = common >= (least - 1e-6) * (weight[:, None] + weight - common)
+        near = zip(*np.nonzero(np.triu(alike, 1)), strict=True)
+    for i, j in near:
+        x, y = find(roots[i]), find(roots[j])
+        if x != y and weighted_jaccard(vectors[i], vectors[j]) >= least:
+            parent[x] = y
+            out.append((int(i), int(j)))
+    return out
+
+
+def _items(vector: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, repeat) items with their unit weights."""
+    ids, weights, tf = vector
+    which = np.repeat(np.arange(len(ids)), tf)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(tf) - tf, tf)
+    return mixed(ids[which] ^ (nth.astype(np.uint64) << np.uint64(48))), (weights / tf)[which]
+
+
+def _across(rows: DataFrame, weights, rules: NearDupRules) -> DataFrame:
+    """(key, root, place, text): links between the roots of each place."""
+    words, least = rules.words, rules.similarity
+    parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = weights.value
+        keys, roots, vectors, place = [], [], [], None
+        links: list[tuple[str, str]] = []
+
+        def finish() -> None:
+            if len(set(roots)) > 1:
+                links.extend((keys[i], keys[j]) for i, j in close_pairs(vectors, roots, least))
+
+        for batch in batches:
+            columns = *(batch.column(k).to_pylist() for k in range(3)), text_bytes(batch.column(3))
+            for at, key, root, text in zip(*columns, strict=True):
+                if at != place:
+                    finish()
+                    keys, roots, vectors, place = [], [], [], at
+                keys.append(key)
+                roots.append(root)
+                vectors.append(own.vector(shingles(text, words)))
+            yield _pairs(links)
+            links.clear()
+        finish()
+        yield _pairs(links)
+
+    dealt = rows.select("place", "key", "root", "text").repartition(parts, "place").sortWithinPartitions("place")
+    return in_arrow(dealt, run, "a string, b string").distinct()
+
+
+def _pairs(links: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.string()), pa.array([x[1] for x in links], pa.string())], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(key, root): the least key of each key's connected component; only keys
     with links. Alternates large and small stars until nothing changes."""
@@ -290,10 +381,10 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
 
     signed = staged(_signed(worded.select("key", "text"), weights, rules), "signatures")
     nodes = staged(signed.groupBy("key").agg(F.first("weight").alias("weight"), F.first("bands").alias("bands")), "nodes")
-    members = nodes.select("key", "weight", F.posexplode("bands").alias("band", "bucket"))
+    members = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     leaders = members.groupBy("band", "bucket").agg(
         F.min_by("key", F.xxhash64("key", "band")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = staged(members.join(leaders, ["band", "bucket"]).select("band", "bucket", "key", "weight", "leader"), "buckets")
+    shared = staged(members.join(leaders, ["band", "bucket"]).select("band", "bucket", "key", "leader"), "buckets")
     tried = staged(
         shared.where("key <> leader").select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct(), "pairs")
     wanted = shared.select("key").distinct()
@@ -302,19 +393,17 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
     links = _linked(tried, texts, weights, rules)
     roots = staged(components(links), "roots")
 
-    # Buckets that still span several classes: compare across the classes.
-    known = shared.join(roots, "key", "left").select("band", "bucket", "key", "weight", F.coalesce("root", "key").alias("root"))
-    open_ones = known.groupBy("band", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = staged(known.join(open_ones.select("band", "bucket"), ["band", "bucket"], "left_semi"), "open")
-    x, y = left.alias("x"), left.alias("y")
-    close = F.least("x.weight", "y.weight") >= (rules.similarity - 1e-9) * F.greatest("x.weight", "y.weight")
-    across = (
-        x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket"))
-               & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & close)
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    more = _linked(across, texts, weights, rules)
+    # Buckets that still span several classes: compare across the classes, in
+    # tiles of a bucket, each pair of tiles in one place.
+    known = shared.join(roots, "key", "left").select("band", "bucket", "key", F.coalesce("root", "key").alias("root"))
+    open_ones = known.groupBy("band", "bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / rules.tile).cast("int").alias("tiles")).where("low <> high")
+    tile = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+    left = known.join(open_ones.select("band", "bucket", "tiles"), ["band", "bucket"]).withColumn("tile", tile)
+    left = left.select("key", "root", "band", "bucket", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least(k, "tile").alias("i"), F.greatest(k, "tile").alias("j")))).alias("at"))
+    left = left.withColumn("place", F.xxhash64("band", "bucket", "at.i", "at.j")).select("key", "root", "place")
+    more = staged(_across(left.join(texts, "key"), weights, rules), "more")
     if not more.isEmpty():
         links = links.union(more)
         roots = staged(components(links), "roots")

@@ -18,16 +18,21 @@ from groundburn.llm.queries import BYTE_BPE
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Whole rows beside what a stage reads, so that no name of theirs can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "source", "lang")
+
+
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps documents whose language is recognised; null and letterless texts go."""
     model = language_id.fit(docs)
-    found = language_id.identified(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = language_id.identified(_packed(docs), model, keep=["row"])
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps documents that pass the base rules and their host's verdict."""
-    return host_quality.judged_by_host(docs).where("kept").select(*docs.columns)
+    return host_quality.judged_by_host(_packed(docs), columns=["row"]).where("kept").select("row.*")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -37,8 +42,8 @@ def distinct(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps documents without a window of any benchmark item."""
-    found = wu_manber.contamination(docs, table(spark, folder, "benchmark"))
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    found = wu_manber.contamination(_packed(docs), table(spark, folder, "benchmark"), keep=["row"])
+    return found.where(F.col("n_hit") == 0).select("row.*")
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -98,3 +98,10 @@ def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
 def ddl(df: DataFrame, keep: list[str]) -> str:
     """Schema of the columns kept, as text that more columns may follow."""
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keep).schema)
+
+
+def carried(df: DataFrame, keep: list[str] | None, made: str) -> list[str]:
+    """Columns of ``df`` to carry: those of ``keep`` (all by default), but for
+    names that the operator makes itself, which give way to its own."""
+    own = made.lower().split()
+    return [c for c in (df.columns if keep is None else keep) if c.lower() not in own]

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import ddl, in_arrow
+from groundburn.llm.base import carried, ddl, in_arrow
 
 
 @dataclass(frozen=True)
@@ -241,7 +241,7 @@ def in_parts(texts: list[str], chars: int = 4_000_000) -> Iterator[list[str]]:
 
 def encoded(docs: DataFrame, rules: BpeRules, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) with ``ids`` array<int>; null text has no ids."""
-    keep = docs.columns if keep is None else keep
+    keep = carried(docs, keep, "_text ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rules)
@@ -256,7 +256,7 @@ def encoded(docs: DataFrame, rules: BpeRules, text: str = "text", keep: list[str
 
 def decoded(rows: DataFrame, rules: BpeRules, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) with ``decoded`` binary; null ids give no bytes."""
-    keep = rows.columns if keep is None else keep
+    keep = carried(rows, keep, "_ids decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rules)
@@ -271,7 +271,7 @@ def decoded(rows: DataFrame, rules: BpeRules, ids: str = "ids", keep: list[str]
 def round_trip(docs: DataFrame, rules: BpeRules, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` with n_tokens, ids_sha256 and decoded_sha256: encoded,
     then decoded from the ids, in one pass. Null text counts as empty."""
-    keep = docs.columns if keep is None else keep
+    keep = carried(docs, keep, "_text n_tokens ids_sha256 decoded_sha256")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rules)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import ddl, in_arrow, staged, text_bytes
+from groundburn.llm.base import carried, ddl, in_arrow, staged, text_bytes
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def _requests(blocks: DataFrame, ranges: int, rules: ClassRules) -> DataFrame:
         if at is not None:
             yield sent(at, train, other)
 
-    return in_arrow(blocks.select("block", "held_out", "text"), run, "range int, block int, words binary, tokens long")
+    return in_arrow(blocks.select("_block", "held_out", "_text"), run, "range int, block int, words binary, tokens long")
 
 
 def _answers(requests: DataFrame, ranges: int, least: int, rules: ClassRules) -> DataFrame:
@@ -159,7 +159,7 @@ def _bigrams(blocks: DataFrame, often, rules: ClassRules) -> DataFrame:
         if parts:
             yield counted(parts)
 
-    return staged(in_arrow(blocks.where("not held_out").select("text"), run, "a int, b int, n long")
+    return staged(in_arrow(blocks.where("not held_out").select("_text"), run, "a int, b int, n long")
                   .groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
 
 
@@ -196,12 +196,13 @@ def best_class(left: np.ndarray, right: np.ndarray, own: int, counts: np.ndarray
     rest[own] -= right
     rest[:, own] -= left
     rest = np.maximum(rest, 0)
-    n = max(left.sum(), right.sum())
-    sums = rest.sum(1)
+    out_of, into = rest.sum(1), rest.sum(0)
     cols, rows = np.flatnonzero(right), np.flatnonzero(left)
     gain = (_xlogx(rest[:, cols] + right[cols]) - _xlogx(rest[:, cols])).sum(1)
     gain += (_xlogx(rest[rows] + left[rows, None]) - _xlogx(rest[rows])).sum(0)
-    gain -= 2 * (_xlogx(sums + n) - _xlogx(sums))
+    own_cell = rest.diagonal()  # gets both sides of the word
+    gain += _xlogx(own_cell + right + left) - _xlogx(own_cell + right) - _xlogx(own_cell + left) + _xlogx(own_cell)
+    gain -= _xlogx(out_of + right.sum()) - _xlogx(out_of) + _xlogx(into + left.sum()) - _xlogx(into)
     gain[0] = -np.inf
     return int(gain.argmax())
 
@@ -278,7 +279,7 @@ def _scored(model, keep: list[str]):
         base = np.log10(c + 0.5) - whole
         base_end = float(np.log10(m.ends + 0.5) - whole)
         out: list[tuple] = []
-        for text in text_bytes(docs.column("text").combine_chunks()):
+        for text in text_bytes(docs.column("_text").combine_chunks()):
             ids = np.fromiter(map(index.__getitem__, words_of(text)), np.int64)
             path = np.concatenate([[0], of[ids], [0]])
             out.append((len(ids) + 1, int((c[ids] > 0).sum()) + (m.ends > 0), float(base[ids].sum()) + base_end,
@@ -296,17 +297,16 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
            rules: ClassRules = ClassRules()) -> DataFrame:
     """Learns from the rows where ``held_out`` is false and scores all rows.
 
-    Returns ``keep`` (all columns by default; none may be called text or
-    block), held_out, n_tokens, n_known, train_tokens, base_score (add-half
+    Returns ``keep`` (all columns by default, but for the names below), held_out, n_tokens, n_known, train_tokens, base_score (add-half
     unigram) and score (log10 probability under the class model; perplexity is
     10 ** (-score / n_tokens)). Null texts count as empty: one end token.
     Without training rows every count is 0 and both scores are finite.
     """
-    keep = docs.columns if keep is None else keep
+    keep = carried(docs, keep, "_text _block held_out n_tokens n_known train_tokens base_score score")
     spark = docs.sparkSession
     ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = staged(docs.select(*keep, held_out.alias("held_out"), F.col(text).alias("_text")).select(
-        *keep, "held_out", F.col("_text").alias("text"), F.spark_partition_id().alias("block")), "blocks")
+    blocks = staged(docs.select(
+        *keep, held_out.alias("held_out"), F.col(text).alias("_text"), F.spark_partition_id().alias("_block")), "blocks")
     requests = staged(_requests(blocks, ranges, rules), "requests")
     ends = blocks.where("not held_out").count()
     words = requests.agg(F.sum("tokens")).first()[0] or 0
@@ -341,5 +341,5 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
     model = spark.sparkContext.broadcast(
         ClassModel(number, of, transition, class_tokens, class_types, tokens, types, ends, rules))
     schema = ddl(blocks, [*keep, "held_out"])
-    return blocks.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
+    return blocks.groupBy("_block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
         _scored(model, [*keep, "held_out"]), f"{schema}n_tokens long, n_known long, train_tokens long, base_score double, score double")

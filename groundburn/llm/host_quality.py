@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import SPACE_CLASS, staged
+from groundburn.llm.base import SPACE_CLASS, carried, staged
 
 
 @dataclass(frozen=True)
@@ -127,12 +127,12 @@ def judged_by_host(docs: DataFrame, text: str = "text", host: str = "source", ru
     ``host_salts`` tasks whether or not Spark finds the hosts small enough to
     broadcast.
     """
-    columns = columns or docs.columns
-    features = with_failures(with_features(docs, text, rules), rules)
+    columns = carried(docs, columns, "_text _of _salt _words _windows _lines _n_lines n_words word_chars n_symbols n_dup_lines "
+                      "n_repeat_words base_failed soft_failed host_rate rate bad kept")
+    features = with_failures(with_features(docs.select(*columns, F.col(text).alias("_text"), F.col(host).alias("_of")), "_text", rules), rules)
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_lines", "base_failed", "soft_failed"]
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(rules.host_salts)).cast("int")
-    host_col = F.col(host).alias("_of")
-    judged = staged(features.select(*columns, host_col, *own, salt.alias("_salt")), "features")
+    judged = staged(features.select(*columns, "_of", *own, salt.alias("_salt")), "features")
     verdicts = host_verdicts(judged, "_of", rules).select(
         "_host", "rate", "bad", F.explode(F.sequence(F.lit(0), F.lit(rules.host_salts - 1))).alias("_salt2"))
     met = judged.join(verdicts, F.col("_of").eqNullSafe(F.col("_host")) & (F.col("_salt") == F.col("_salt2")))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import ddl, in_arrow
+from groundburn.llm.base import carried, ddl, in_arrow
 
 
 @dataclass(frozen=True)
@@ -400,7 +400,7 @@ def extracted(pages: DataFrame, net: Labeller, html_col: str = "html", keep: lis
     """Columns ``keep`` (all by default) with ``text``, the blocks of main text
     joined by an empty line, and ``n_chars``. Null or empty html, and pages
     without main text, give an empty text."""
-    keep = pages.columns if keep is None else keep
+    keep = carried(pages, keep, "_html text n_chars")
     shared = pages.sparkSession.sparkContext.broadcast(net)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import ddl, in_arrow
+from groundburn.llm.base import carried, ddl, in_arrow
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -168,7 +168,7 @@ def predict(model: LanguageModel, text: str | None, cache: dict[str, np.ndarray]
 def identified(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) with lang_pred and score.
     Whole texts are scored; null and letterless texts are ``und``."""
-    keep = docs.columns if keep is None else keep
+    keep = carried(docs, keep, "_text lang_pred score")
     model_of = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

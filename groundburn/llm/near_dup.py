@@ -6,8 +6,7 @@ draws (shingle, level) samples that two texts share with the probability of
 their weighted Jaccard similarity. Samples are banded; texts that share a band
 are compared by that similarity itself; links of 0.8 or more make classes.
 
-Document frequencies are counted over all documents. The weight falls from 2
-to 1 with the logarithm of the frequency, from one in ``rare`` documents up;
+Document frequencies are counted over all documents. The weight falls to 1 with the logarithm of the frequency, from one in ``rare`` documents up;
 only shingles that frequent have to be known when weighing, and no more than
 ``rare`` times the mean number of shingles of a document can be.
 
@@ -40,6 +39,8 @@ class NearDupRules:
     similarity: float = 0.8
     bands: int = 10             # with 3 samples each, 0.8 is missed once in 1,200 pairs
     samples: int = 3
+    idf_spread: float = 0.1     # the rarest shingles weigh so much more than the most frequent; a larger
+    #                             one would part the copies of a large group, whose common text is frequent
     rare: int = 1000            # one document in so many, and fewer, all weigh the same
     chunk: int = 100_000        # shingles sampled at a time
     tile: int = 400             # texts of a bucket compared in one place
@@ -138,16 +139,16 @@ def frequent_shingles(docs: DataFrame, rules: NearDupRules) -> tuple[np.ndarray,
 class Weights:
     """Weights of shingles from the frequent ones' counts."""
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, n_docs: int, rare: int):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, n_docs: int, rare: int, spread: float):
         self.ids = np.append(ids, np.uint64(2**63))
         share = np.log(np.maximum(counts * rare / max(n_docs, 1), 1)) / np.log(rare)
-        self.idf = np.append(2 - np.minimum(share, 1), 2.0)
+        self.idf = np.append(1 + spread * (1 - np.minimum(share, 1)), 1 + spread)
 
     def vector(self, shingle_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, weights and counts."""
         ids, tf = np.unique(shingle_ids, return_counts=True)
         at = np.searchsorted(self.ids, ids)
-        return ids, tf * np.where(self.ids[at] == ids, self.idf[at], 2.0), tf
+        return ids, tf * np.where(self.ids[at] == ids, self.idf[at], self.idf[-1]), tf
 
 
 def weighted_jaccard(a: tuple, b: tuple) -> float:
@@ -377,7 +378,7 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     worded = rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("key", _key(F.col("text")))
     weights = spark.sparkContext.broadcast(
-        Weights(*frequent_shingles(rows.where("text is not null").select("text"), rules), rules.rare))
+        Weights(*frequent_shingles(rows.where("text is not null").select("text"), rules), rules.rare, rules.idf_spread))
 
     signed = staged(_signed(worded.select("key", "text"), weights, rules), "signatures")
     nodes = staged(signed.groupBy("key").agg(F.first("weight").alias("weight"), F.first("bands").alias("bands")), "nodes")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import ddl, in_arrow, text_bytes
+from groundburn.llm.base import carried, ddl, in_arrow, text_bytes
 
 #: Lower-cases A-Z and makes every ASCII byte but digits and letters a space.
 _WORD_BYTES = bytes(
@@ -168,7 +168,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     Null text has no words. Items without an id or without words have no
     windows. Equal windows of several items count for each.
     """
-    keep = docs.columns if keep is None else keep
+    keep = carried(docs, keep, "_text _hits _items n_words n_hit items")
     empty = F.array().cast
     rows = docs.select(*keep, F.col(text).alias("_text"), empty("array<int>").alias("_hits"), empty("array<string>").alias("_items"))
     schema = ddl(docs, keep)

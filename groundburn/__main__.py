@@ -74,7 +74,8 @@ def main() -> None:
         builder = builder.config(key, value)
     report = run(builder.getOrCreate(), sys.argv[1:])
     if isinstance(report, DataFrame):
-        report.show(1000, truncate=False)  # one row per archive, table or figure
+        for row in report.toLocalIterator():  # one row per archive, table or figure
+            print(", ".join(f"{k}={v}" for k, v in row.asDict().items()))
     elif report:
         print("\n".join(report))
 

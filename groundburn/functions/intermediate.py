@@ -26,14 +26,14 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back.
 
     What was computed survives the loss of executors, is computed once, and
-    its size is known to whatever joins it. Without a shared folder the plan
-    is returned as it is. Tables lie under the application's id, to be removed
+    its size is known to whatever joins it. A cluster without a shared folder is
+    an error. Tables lie under the application's id, to be removed
     with it.
     """
     spark = df.sparkSession
     folder = _shared_folder(spark)
     if folder is None:
-        return df
+        raise RuntimeError("intermediate tables need a shared folder: set spark.checkpoint.dir")
     path = f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,7 +20,6 @@ from groundburn.operators.measures import departures, segments
 from groundburn.params import HIGH
 from groundburn.plans.publish import emission_tables
 from groundburn.schema import FLIGHT_KEY
-from groundburn.sources.archives import file_volume
 from groundburn.sources.star import STAR_PARAMS as P
 from groundburn.sources.star import star_flights, star_weather, star_weather_reports
 from groundburn.sources.weather import first_per_day
@@ -200,7 +199,6 @@ QUERIES: dict[str, Query] = {
     # Dashboard
     "tablero_kpi": _over_airport_month(G.dashboard_kpi, P, P.years),
     "tablero_kpi_salida_alto": _over_airport_month(G.dashboard_kpi, P, (1996, 1997), ("salida",), HIGH),
-    "tablero_kpi_sin_filtro": _over_airport_month(G.dashboard_kpi, P, ()),
     "tablero_top15": lambda spark, sf: G.dashboard_top(_chosen(spark, sf)),
     "tablero_mensual": lambda spark, sf: G.dashboard_monthly(_chosen(spark, sf)),
     "tablero_hora": _over_airport_hour(G.dashboard_hourly),
@@ -208,7 +206,6 @@ QUERIES: dict[str, Query] = {
     # Published-table checks and verification
     "contract_check": lambda spark, sf: K.contract_check(spark, published(spark, sf)),
     "conteo_publicado": lambda spark, sf: K.row_counts(published(spark, sf)),
-    "volumen_entrada": lambda spark, sf: file_volume(spark, sf, "*.parquet"),
     "verificacion_exactitud": _accuracy,
     "verificacion_top10":
         lambda spark, sf: V.verify_ranking(airport_month(spark, sf), V.ranking(star_flights(spark, sf), P)),

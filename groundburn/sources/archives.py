@@ -21,6 +21,7 @@ from groundburn.schema import FLIGHT, PARTITIONS, REQUIRED
 
 # Outcomes of looking at an archive.
 VALID, CORRUPT, INCOMPLETE, MISNAMED = "valido", "zip_corrupto", "esquema_incompleto", "nombre_invalido"
+RAGGED, ENCODING, SEVERAL = "csv_danado", "codificacion_invalida", "varios_csv"
 
 _PERIOD = r"_(\d{4})_(\d{1,2})\.zip$"
 _INSPECTION = (
@@ -63,6 +64,25 @@ def _header(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> list[str]:
         return next(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig")), [])
 
 
+def _decoded(archive: zipfile.ZipFile, member: zipfile.ZipInfo, columns: list[str]) -> Iterator:
+    """Batches of a CSV member with the given columns as text; a row with too
+    few or many fields, or a byte that is not UTF-8, raises a ValueError."""
+    import pyarrow as pa
+    from pyarrow import csv as pacsv
+
+    with archive.open(member) as stream:
+        yield from pacsv.open_csv(
+            stream,
+            read_options=pacsv.ReadOptions(block_size=_BLOCK),
+            parse_options=pacsv.ParseOptions(newlines_in_values=True),
+            convert_options=pacsv.ConvertOptions(
+                column_types={c: pa.string() for c in columns},
+                include_columns=columns, include_missing_columns=True,
+                strings_can_be_null=True, null_values=[""],
+            ),
+        )
+
+
 def _inspect(path: str, content: bytes) -> dict:
     named = re.search(_PERIOD, path)
     found = {
@@ -73,14 +93,23 @@ def _inspect(path: str, content: bytes) -> dict:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             members = _csv_members(archive)
-            columns = _header(archive, members[0]) if members else []
             found["bytes_csv"] = sum(m.file_size for m in members)
+            damaged = CORRUPT if archive.testzip() is not None else SEVERAL if len(members) > 1 else None
+            columns = _header(archive, members[0]) if members and not damaged else []
             found["columnas_faltantes"] = sorted(set(REQUIRED) - set(columns))
-            damaged = archive.testzip() is not None
+            if columns and not damaged and not found["columnas_faltantes"]:
+                for _ in _decoded(archive, members[0], list(REQUIRED)):
+                    pass
+    except UnicodeDecodeError:
+        damaged = ENCODING
     except _DAMAGE:
-        damaged = True
+        damaged = CORRUPT
+    except ValueError as error:  # how the CSV reader reports rows and bytes it cannot read
+        damaged = ENCODING if "UTF8" in str(error) else RAGGED
+    except csv.Error:
+        damaged = RAGGED
     if damaged:
-        found.update(estado=CORRUPT, columnas_faltantes=[])
+        found.update(estado=damaged, columnas_faltantes=[])
     elif found["columnas_faltantes"]:
         found["estado"] = INCOMPLETE
     elif not named:
@@ -117,33 +146,21 @@ def read_flight_archives(archives: DataFrame) -> DataFrame:
 
     def batches(records: Iterator) -> Iterator:
         import pyarrow as pa
-        from pyarrow import csv as pacsv
 
         for record in records:
             for path, content in zip(record.column(0), record.column(1)):
                 with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    member = _csv_members(archive)[0]
-                    with archive.open(member) as stream:
-                        decoded = pacsv.open_csv(
-                            stream,
-                            read_options=pacsv.ReadOptions(block_size=_BLOCK),
-                            parse_options=pacsv.ParseOptions(newlines_in_values=True),
-                            convert_options=pacsv.ConvertOptions(
-                                column_types={c: pa.string() for c in columns},
-                                include_columns=columns, include_missing_columns=True,
-                                strings_can_be_null=True, null_values=[""],
-                            ),
-                        )
-                        for batch in decoded:
-                            names = pa.array([path.as_py()] * batch.num_rows, pa.string())
-                            yield pa.RecordBatch.from_arrays(
-                                [names, *[batch.column(c).cast(pa.string()) for c in columns]],
-                                names=["archivo", *columns])
+                    for batch in _decoded(archive, _csv_members(archive)[0], columns):
+                        names = pa.array([path.as_py()] * batch.num_rows, pa.string())
+                        yield pa.RecordBatch.from_arrays(
+                            [names, *[batch.column(c).cast(pa.string()) for c in columns]],
+                            names=["archivo", *columns])
 
     def typed(field: T.StructField) -> Column:
         kind = field.dataType.simpleString()
-        if kind == "bigint":  # whole numbers may be written as 930, 0930 or 930.00
-            return F.expr(f"try_cast(try_cast({field.name} AS DOUBLE) AS BIGINT)").alias(field.name)
+        if kind == "bigint":  # whole numbers may be written as 930, 0930 or 930.00; 930.7 is none
+            number = f"try_cast({field.name} AS DECIMAL(38, 10))"
+            return F.expr(f"IF({number} = floor({number}), try_cast({number} AS BIGINT), NULL)").alias(field.name)
         return F.expr(f"try_cast({field.name} AS {kind})").alias(field.name)
 
     year, month = period_columns(F.col("archivo"))

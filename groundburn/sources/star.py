@@ -26,9 +26,6 @@ STAR_PARAMS = replace(
     Params(), years=tuple(range(1995, 2002)), ranking_floor=2_000, route_floor=100,
 )
 
-_WEATHER_AIRPORTS = 20
-
-
 #: Columns used from each table; naming them spares Spark a look into the files.
 _SCHEMAS = {
     "nation": "n_nationkey int, n_name string",
@@ -135,13 +132,16 @@ def _with_measures(days: DataFrame, *more: str) -> DataFrame:
 
 
 def star_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather of the first twenty nations on every ship date."""
+    """Weather of every nation on every ship date but each nation's one in thirteen."""
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("Origin"))
     dates = (
         _table(spark, sf_dir, "lineitem")
         .select(F.col("l_shipdate").cast("date").alias("fecha")).distinct()
     )
-    keyed = dates.withColumn("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(_WEATHER_AIRPORTS - 1))))
+    last = nation.agg(F.max("n_nationkey")).scalar()
+    keyed = dates.withColumn("n_nationkey", F.explode(F.sequence(F.lit(0), last)))
+    elapsed = F.datediff("fecha", F.lit("1995-01-01").cast("date"))
+    keyed = keyed.where((F.col("n_nationkey") * 5 + elapsed) % 13 != 0)
     return _with_measures(keyed.join(_side(spark, sf_dir, nation, "nation"), "n_nationkey"))
 
 

@@ -1,12 +1,15 @@
 """Archives as a file stream: each new archive is converted once.
 
-The stream's checkpoint remembers which archives were seen. A micro-batch that
-is repeated after a failure rewrites the same months and the same ledger
-entry, so the outcome does not change.
+The stream's checkpoint remembers which archives were seen, and the stream's
+id. A micro-batch that is repeated after a failure rewrites the same months and
+the same ledger entry, so the outcome does not change; a stream with another
+checkpoint has another id and entries of its own.
 """
 
 from __future__ import annotations
 
+from queue import Queue
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,10 +32,16 @@ def start_ingest(
     spark: SparkSession, folder: str, lake: str, checkpoint: str, max_files: int = 64,
 ) -> StreamingQuery:
     """Convert everything that is new, then stop."""
+    started: Queue[str] = Queue()
+
     def batch(archives: DataFrame, number: int) -> None:
-        convert(archives, lake, f"flujo-{number}")
+        stream = started.get()  # known once the query has started
+        started.put(stream)
+        convert(archives, lake, f"flujo-{stream}-{number}")
 
-    return (
+    query = (
         archive_stream(spark, folder, max_files).writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    started.put(query.id)
+    return query

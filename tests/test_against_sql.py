@@ -10,16 +10,12 @@ from checks.compare import connect, differences
 from checks.oracle import ORACLES, over_test_tables
 from tests.edge_rows import FLIGHT_DDL, FLIGHTS, WEATHER_DDL, WEATHER_ROWS, flight, load
 
-#: Read files rather than flights, so they have no SQL.
-WITHOUT_SQL = {"volumen_entrada"}
-
-
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(registry.QUERIES) - WITHOUT_SQL
+    assert set(ORACLES) == set(registry.QUERIES)
 
 
 #: Empty by design: what they look for does not occur, or nothing is selected.
-EMPTY_ON_TEST_TABLES = {"crsdeptime_invalidos", "duplicados_ejemplos", "tablero_kpi_sin_filtro"}
+EMPTY_ON_TEST_TABLES = {"crsdeptime_invalidos", "duplicados_ejemplos"}
 #: Rankings whose floor no airport or route reaches at the smallest scale.
 BELOW_FLOOR = {"aeropuertos_lentos", "panel_lentos", "rutas_atrasadas"}
 

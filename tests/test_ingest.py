@@ -49,6 +49,40 @@ def landed(tmp_path):
     return folder
 
 
+def test_a_bad_archive_stops_no_other(spark, landed, tmp_path):
+    lake = str(tmp_path / "lake")
+    _archive(landed, 2023, 6, [_row(2023, 6), _row(2023, 6) + "one,too,many"])
+    _archive(landed, 2023, 7, [_row(2023, 7)])
+    with zipfile.ZipFile(landed / _name(2023, 8), "w") as z:
+        z.writestr("flights.csv", (",".join(HEADER) + "\n").encode() + _row(2023, 8, city="\xe9").encode("latin-1") + b"\n")
+    with zipfile.ZipFile(landed / _name(2023, 7), "a") as z:
+        z.writestr("more.csv", "x\n")
+    report = _report(ingest(spark, str(landed), lake))
+    assert [report[f"2023_{k}.zip"][0] for k in (6, 7, 8)] == ["csv_danado", "varios_csv", "codificacion_invalida"]
+    assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1}
+
+
+def test_whole_numbers_are_not_cut(spark, landed, tmp_path):
+    lake = str(tmp_path / "lake")
+    _archive(landed, 2023, 6, [_row(2023, 6, crs="930.7"), _row(2023, 6, crs="930.00")])
+    ingest(spark, str(landed), lake)
+    assert sorted(str(r.CRSDepTime) for r in one_month(read_flights(spark, flights_path(lake)), 2023, 6).collect()) == ["930", "None"]
+
+
+def test_streams_keep_their_own_ledgers(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    for k, rows in ((1, 3), (2, 1)):
+        folder = tmp_path / f"raw{k}"
+        folder.mkdir()
+        _archive(folder, 2023, k, [_row(2023, k)] * rows)
+        start_ingest(spark, str(folder), lake, str(tmp_path / f"checkpoint{k}")).awaitTermination()
+    again = tmp_path / "again"
+    again.mkdir()
+    _archive(again, 2023, 1, [_row(2023, 1)])
+    assert _report(ingest(spark, str(again), lake))["2023_1.zip"][0] == "omitido"
+    assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1}
+
+
 def _report(df):
     return {r.archivo.rsplit("_present_", 1)[-1]: (r.estado, r.filas, r.columnas_faltantes) for r in df.collect()}
 

@@ -181,6 +181,18 @@ def _class_counts(bigrams: DataFrame, of: np.ndarray, classes: int) -> np.ndarra
     return out.reshape(classes, classes)
 
 
+def _cells(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys and their counts: differences and counts, byte by byte, compressed."""
+    both = np.concatenate([np.diff(keys, prepend=0), counts]).astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(both).tobytes())
+
+
+def _uncells(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1).T
+    keys, counts = np.split(np.ascontiguousarray(both).view("<i8").ravel(), 2)
+    return np.cumsum(keys), counts
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -220,21 +232,27 @@ def _moved(bigrams: DataFrame, of: np.ndarray, counts: np.ndarray, turn: int, pa
             n = np.bincount(at, weights=np.concatenate([n, n])).astype(np.int64)
             word = key // (2 * classes)
             mine = (word > 0) & (word % 2 == turn % 2)
+            key, n, to = key[mine], n[mine], word[mine] // 2 % parts
+            order = np.argsort(to, kind="stable")
+            key, n, edges = key[order], n[order], np.searchsorted(to[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(edges))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word[mine].astype(np.int32)), pa.array((key % (2 * classes))[mine].astype(np.int32)), pa.array(n[mine])], names=["w", "slot", "n"])
+                [pa.array(some, pa.int32()), pa.array([_cells(key[edges[k]:edges[k + 1]], n[edges[k]:edges[k + 1]]) for k in some], pa.binary())],
+                names=["part", "cells"])
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches]
+        found = [_uncells(blob) for b in batches for blob in b.column(1).to_pylist()]
         if not found:
             return
-        w, slot, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        words, at = np.unique(w, return_inverse=True)
+        key, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        slot = key % (2 * classes)
+        words, at = np.unique((key // (2 * classes)).astype(np.int32), return_inverse=True)
         table = np.bincount(at * 2 * classes + slot, weights=n, minlength=len(words) * 2 * classes).reshape(len(words), 2 * classes)
         own, counts = shared.value
         best = [best_class(row[:classes], row[classes:], own[k], counts) for k, row in zip(words, table, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best, pa.int32())], names=["w", "c"])
 
-    sent = in_arrow(bigrams, contexts, "w int, slot int, n long").repartition(parts, "w")
+    sent = in_arrow(bigrams, contexts, "part int, cells binary").repartition(parts, "part")
     out = of.copy()
     for row in in_arrow(sent, move, "w int, c int").collect():  # at most ``rare`` words and the pools
         out[row["w"]] = row["c"]

@@ -17,7 +17,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from groundburn.llm.base import in_arrow, new_path, staged
+from groundburn.llm.base import in_arrow, new_path, staged, text_bytes
 
 _HEAD, _SUM, _META = "<Q", "<I", "<qBB"  # layouts of length, checksum and payload head
 
@@ -67,9 +67,10 @@ def unframed(read) -> Iterator[bytes]:
 class _Encoder:
     """Ids of texts, by the ids of their words.
 
-    The tokenizer's pieces never reach across ASCII white space, which it
-    drops, so a text's ids are its white-space-delimited words' ids in a row;
-    words met before are not encoded again.
+    The tokenizer's pieces never reach across white space, which it drops, so a
+    text's ids are its white-space-delimited words' ids in a row; words met
+    before are not encoded again. New words are encoded many in one string and
+    told apart by the tokens' offsets.
     """
 
     def __init__(self, rules: RecordRules):
@@ -78,11 +79,11 @@ class _Encoder:
         if self.tokenizer.get_vocab_size() > 1 << (8 * rules.id_bytes):
             raise ValueError("id_bytes is too small for the vocabulary")
         self.type = f"<u{rules.id_bytes}"
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.translate(_AS_SPACE).split(" ") for t in texts]
+    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
+        cut = [t.split() for t in texts]
         if len(self.new) > self.rules.cached:
             self.old, self.new = self.new, {}
         unseen = set().union(*cut) - self.new.keys()
@@ -90,14 +91,19 @@ class _Encoder:
         self.new.update((w, self.old[w]) for w in kept)
         asked = list(unseen - kept)
         for k in range(0, len(asked), 20_000):
-            part = asked[k:k + 20_000]
-            for word, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.new[word] = np.array(e.ids, dtype=self.type).tobytes()
+            self._learn(asked[k:k + 20_000])
         end = np.array([self.rules.end_id], dtype=self.type).tobytes()
         return [b"".join(map(self.new.__getitem__, words)) + end for words in cut]
 
-
-_AS_SPACE = {9: " ", 10: " ", 13: " "}
+    def _learn(self, words: list[bytes]) -> None:
+        groups = [words[k:k + 100] for k in range(0, len(words), 100)]
+        lines = [b" ".join(g).decode() for g in groups]
+        for group, line, e in zip(groups, lines, self.tokenizer.encode_batch(lines, add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(w) + 1 for w in line.split(" ")])
+            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+            at = [0, *(np.searchsorted(starts, ends) * self.rules.id_bytes).tolist()]
+            ids = np.array(e.ids, dtype=self.type).tobytes()
+            self.new.update(zip(group, (ids[i:j] for i, j in zip(at, at[1:])), strict=True))
 
 
 @lru_cache(maxsize=1)
@@ -126,8 +132,7 @@ def written(docs: DataFrame, path: str, rules: RecordRules, text: str = "text",
         temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
         offsets, at, n_ids, out = [], 0, 0, None
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for key, ids in zip(batch.column(0).to_pylist(), own.encode(texts), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), own.encode(text_bytes(batch.column(1))), strict=True):
                 if out is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(temporary)

@@ -406,8 +406,8 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
     left = left.withColumn("place", F.xxhash64("band", "bucket", "at.i", "at.j")).select("key", "root", "place")
     more = staged(_across(left.join(texts, "key"), weights, rules), "more")
     if not more.isEmpty():
-        links = links.union(more)
-        roots = staged(components(links), "roots")
+        # From the classes found so far, not from their links: fewer rounds.
+        roots = staged(components(roots.select(F.col("key").alias("a"), F.col("root").alias("b")).union(more)), "roots")
 
     own = rows.where("text is null or not text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     keyed = worded.select("doc_id", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -14,6 +14,7 @@ under another name first and renames it, so that a repeated task does no harm.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -75,6 +76,7 @@ class _Encoder:
 
     def __init__(self, rules: RecordRules):
         self.rules = rules
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use every core
         self.tokenizer = Tokenizer.from_file(rules.tokenizer)
         if self.tokenizer.get_vocab_size() > 1 << (8 * rules.id_bytes):
             raise ValueError("id_bytes is too small for the vocabulary")

@@ -342,24 +342,21 @@ def _pairs(links: list[tuple[str, str]]) -> pa.RecordBatch:
 
 def components(links: DataFrame) -> DataFrame:
     """(key, root): the least key of each key's connected component; only keys
-    with links. Alternates large and small stars until nothing changes."""
-    edges = links.select("a", "b").where("a <> b")
-    seen = None
+    with links. Alternates large and small stars until every edge leads from a
+    key to a root."""
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        edges = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        edges = staged(down.join(least, "a").select(F.col("b").alias("x"), "m").where("x <> m")
-                       .union(least.select("a", "m")).toDF("a", "b").distinct(), "stars")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen:
+        # Of each key: the least key around it, and whether it already stands where it should.
+        ends = edges.select("a", "b", F.col("b").alias("up")).union(edges.select("b", "a", F.lit(None).cast("string")))
+        around = ends.groupBy("a").agg(
+            F.least("a", F.min("b")).alias("m"), F.min("up").alias("low"), F.max("up").alias("high"), F.bool_or(F.col("up").isNull()).alias("met"))
+        if around.where("low <> high or (low is not null and met)").isEmpty():
             break
-        seen = now
-    # Every edge now leads from a key to its root.
-    return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
+        large = edges.join(around.select(F.col("a").alias("b"), "m"), "b").select("a", F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        edges = staged(large.join(least, "a").select(F.col("b").alias("x"), "m").where("x <> m")
+                       .union(least.select("a", "m")).toDF("a", "b").distinct(), "stars")
+    return around.select(F.col("a").alias("key"), "m").toDF("key", "root")
 
 
 def _key(text: Column) -> Column:
@@ -380,7 +377,7 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
     weights = spark.sparkContext.broadcast(
         Weights(*frequent_shingles(rows.where("text is not null").select("text"), rules), rules.rare, rules.idf_spread))
 
-    signed = staged(_signed(worded.select("key", "text"), weights, rules), "signatures")
+    signed = _signed(worded.select("key", "text"), weights, rules)
     nodes = staged(signed.groupBy("key").agg(F.first("weight").alias("weight"), F.first("bands").alias("bands")), "nodes")
     members = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     leaders = members.groupBy("band", "bucket").agg(
@@ -396,7 +393,7 @@ def classes(docs: DataFrame, rules: NearDupRules = NearDupRules(), text: str = "
 
     # Buckets that still span several classes: compare across the classes, in
     # tiles of a bucket, each pair of tiles in one place.
-    known = shared.join(roots, "key", "left").select("band", "bucket", "key", F.coalesce("root", "key").alias("root"))
+    known = staged(shared.join(roots, "key", "left").select("band", "bucket", "key", F.coalesce("root", "key").alias("root")), "known")
     open_ones = known.groupBy("band", "bucket").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / rules.tile).cast("int").alias("tiles")).where("low <> high")
     tile = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")

@@ -48,7 +48,7 @@ WITH RECURSIVE t(piece, pos, id, nid, done) AS (
         FROM t LEFT JOIN merges m ON m.pair = (t.id << 32 | t.nid)
         WHERE NOT t.done
     ), c AS (
-        SELECT *, min(key) OVER (PARTITION BY piece) AS best,
+        SELECT *, min(key) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,  -- one sort for all four
                lag(key) OVER w AS key_before, lead(key) OVER w AS key_after, lead(nid) OVER w AS nid_after
         FROM r WINDOW w AS (PARTITION BY piece ORDER BY pos)
     )

@@ -1,16 +1,18 @@
 """Brown class bigrams: words in classes found by exchange, scored by class
 transitions and word emissions.
 
-Words are counted over all training documents. A word that makes up one in
-``rare`` tokens or more is a word of the exchange, so there are at most ``rare``
-of them; all other words, seen or unseen, belong to one of ``pools`` pools by
-their last letters, and a pool is exchanged like a word. Bigrams of words and
-pools are counted once; in each round the words of one half move to the class
-that raises the likelihood of all bigrams most.
-
-Counts of words are not broadcast. Each block of documents sends its distinct
-words, packed, to the task that has their range; that task adds them up and
-answers each block with its own words' totals.
+Words are counted over all training documents. Every word seen ``least`` times
+or more, a fixed number, is a word of the exchange; rarer ones, seen or unseen,
+belong to one of ``pools`` pools by their last letters, and a pool is exchanged
+like a word, so that words seen once speak for the unseen. In each round the
+words of one half move to the class that raises the likelihood of all bigrams
+most.
+
+Words and their numbers are never in one place. Each block of documents sends
+its distinct words, packed, to the task that has their range; that task adds
+them up, numbers its words and answers each block with its own words' totals
+and numbers. From then on texts are numbers. Only the classes, one byte a word
+and in order of the numbers, pass through the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +36,9 @@ from groundburn.llm.base import carried, ddl, in_arrow, staged, text_bytes
 class ClassRules:
     classes: int = 48       # class 0 is the end's own
     rounds: int = 6         # half of the words move in each
-    rare: int = 100_000     # one token in so many makes a word of the exchange
+    least: int = 2          # occurrences that make a word of the exchange
     pools: int = 256        # of all rarer words
+    ranked: int = 10_000    # words of one token in so many, and more, begin in classes by rank
     prior: float = 20.0     # tokens' worth of the class unigram in a transition
     count_chunk: int = 1_000_000  # distinct words that a task counts before it sends them on
     pair_chunk: int = 3_000_000   # bigrams that a task counts at a time
@@ -48,15 +52,16 @@ def pool_of(word: bytes, pools: int) -> int:
     return zlib.crc32(word[-3:]) % pools
 
 
-def _packed(words: list[bytes], counts: list[int]) -> bytes:
+def _packed(words: list[bytes], *numbers: list[int]) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(
-        len(words).to_bytes(4, "little") + np.array(counts, "<i8").tobytes() + b"\n".join(words))
+        len(words).to_bytes(4, "little") + np.array(numbers, "<i8").tobytes() + b"\n".join(words))
 
 
-def _unpacked(blob: bytes) -> tuple[list[bytes], list[int]]:
+def _unpacked(blob: bytes, columns: int = 1) -> tuple[list[bytes], *tuple[list[int], ...]]:
     data = zstandard.ZstdDecompressor().decompress(blob)
     n = int.from_bytes(data[:4], "little")
-    return (data[4 + 8 * n:].split(b"\n") if n else []), np.frombuffer(data, "<i8", n, 4).tolist()
+    numbers = np.frombuffer(data, "<i8", columns * n, 4).reshape(columns, n).tolist()
+    return (data[4 + 8 * columns * n:].split(b"\n") if n else []), *numbers
 
 
 def _requests(blocks: DataFrame, ranges: int, rules: ClassRules) -> DataFrame:
@@ -91,76 +96,109 @@ def _requests(blocks: DataFrame, ranges: int, rules: ClassRules) -> DataFrame:
     return in_arrow(blocks.select("_block", "held_out", "_text"), run, "range int, block int, words binary, tokens long")
 
 
-def _answers(requests: DataFrame, ranges: int, least: int, rules: ClassRules) -> DataFrame:
-    """(block, words): totals for each block's words; block -1 has the words of
-    at least ``least`` tokens; block -2 the numbers of types, by pool and of
-    these words, as the counts of the words "0", "1", ..."""
-    pools = rules.pools
+def _answers(requests: DataFrame, ranges: int, hot: int, rules: ClassRules) -> DataFrame:
+    """(block, range, n, words): totals and numbers within the range for each
+    block's words, -1 for words of a pool. Block -1 has how many words the range
+    numbers, and those of at least ``hot`` tokens; block -2 the pools' types."""
+    pools, least = rules.pools, rules.least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, bytes]]] = {}
         for batch in batches:
             for k, block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 held.setdefault(k, []).append((block, blob))
-        for sent in held.values():
+        for k, sent in held.items():
             total: Counter[bytes] = Counter()
             for _, blob in sent:
                 for w, n in zip(*_unpacked(blob), strict=True):
                     total[w] += n
-            often = [w for w, n in total.items() if n >= least]
+            number = {w: i for i, w in enumerate(sorted(w for w, n in total.items() if n >= least))}
+            often = [w for w in number if total[w] >= hot]
             types = np.zeros(pools, np.int64)
             for w, n in total.items():
                 if 0 < n < least:
                     types[pool_of(w, pools)] += 1
-            out = [(-1, _packed(often, [total[w] for w in often])),
-                   (-2, _packed([b"%d" % k for k in range(pools)], types.tolist()))]
+            out = [(-1, k, len(number), _packed(often, [total[w] for w in often], [number[w] for w in often])),
+                   (-2, k, 0, _packed([b""] * pools, types.tolist()))]
             for block, blob in sent:
                 words = _unpacked(blob)[0]
-                out.append((block, _packed(words, [total[w] for w in words])))
+                out.append((block, k, len(words), _packed(words, [total[w] for w in words], [number.get(w, -1) for w in words])))
                 if len(out) >= 64:
                     yield _blobs(out)
                     out = []
             if out:
                 yield _blobs(out)
 
-    return in_arrow(requests.select("range", "block", "words").repartition(ranges, "range"), run, "block int, words binary")
+    return in_arrow(requests.select("range", "block", "words").repartition(ranges, "range"), run, "block int, range int, n long, words binary")
 
 
-def _blobs(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
+def _blobs(out: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    block, k, n, words = zip(*out, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["block", "words"])
+        [pa.array(block, pa.int32()), pa.array(k, pa.int32()), pa.array(n, pa.int64()), pa.array(words, pa.binary())],
+        names=["block", "range", "n", "words"])
 
 
-def _bigrams(blocks: DataFrame, often, rules: ClassRules) -> DataFrame:
-    """(a, b, n): bigrams of word numbers; 0 is the end, before and after each text."""
-    pools, limit = rules.pools, rules.pair_chunk
+def _numbered(first: dict[int, int], keep: list[str], whole: float, rules: ClassRules):
+    """Texts as packed numbers, with what is known of their tokens without
+    classes. ``first``: number of the first word of each range. Pools come
+    before the words, from 1 on."""
+    pools = rules.pools
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = often.value
-        first_pool = len(number) + 1
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        index: dict[bytes, int] = {}
+        counts, numbers = [], []
+        for k, blob in zip(answers.column("range").to_pylist(), answers.column("words").to_pylist(), strict=True):
+            words, n, local = _unpacked(blob, 2)
+            index.update(zip(words, range(len(counts), len(counts) + len(words))))
+            counts += n
+            numbers += [first[k] + i if i >= 0 else 1 + pool_of(w, pools) for w, i in zip(words, local, strict=True)]
+        c, number = np.array(counts, np.int64), np.array(numbers, "<i4")
+        logs = np.log10(c + 0.5)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        out: list[tuple] = []
+        for text in text_bytes(docs.column("_text").combine_chunks()):
+            at = np.fromiter(map(index.__getitem__, words_of(text)), np.int64)
+            own = float(logs[at].sum())
+            out.append((len(at), int((c[at] > 0).sum()), own - len(at) * whole, own, pack(number[at].tobytes())))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.table({**{k: docs.column(k) for k in keep},
+                         "_n": pa.array(columns[0], pa.int64()), "_known": pa.array(columns[1], pa.int64()),
+                         "_base": pa.array(columns[2], pa.float64()), "_own": pa.array(columns[3], pa.float64()), "_ids": pa.array(columns[4], pa.binary())})
+
+    return run
+
+
+def _ids(column: pa.Array) -> Iterator[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for blob in column.to_pylist():
+        yield np.frombuffer(unpack(blob), "<i4")
 
+
+def _bigrams(numbered: DataFrame, rules: ClassRules) -> DataFrame:
+    """(cells): packed bigrams of word numbers, first word << 32 | second, with
+    their counts in one stretch of texts; 0 is the end, before and after each text."""
+    limit = rules.pair_chunk
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-            ids = np.concatenate([np.zeros(1, np.int64), *parts])
+            ids = np.concatenate(parts).astype(np.int64)
             pairs, n = np.unique(ids[:-1] << 32 | ids[1:], return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["a", "b", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([_cells(pairs, n)], pa.binary())], names=["cells"])
 
-        parts, size = [], 0
+        end = np.zeros(1, np.int32)
+        parts, size = [end], 0
         for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                words = words_of(text)
-                ids = [number.get(w) or first_pool + pool_of(w, pools) for w in words]
-                ids.append(0)
-                parts.append(np.array(ids, np.int64))
-                size += len(ids)
+            for ids in _ids(batch.column(0)):
+                parts += [ids, end]
+                size += len(ids) + 1
                 if size >= limit:
                     yield counted(parts)
-                    parts, size = [], 0
-        if parts:
+                    parts, size = [end], 0
+        if size:
             yield counted(parts)
 
-    return staged(in_arrow(blocks.where("not held_out").select("_text"), run, "a int, b int, n long")
-                  .groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
+    return staged(in_arrow(numbered.where("not held_out").select("_ids"), run, "cells binary"), "bigrams")
 
 
 def _class_counts(bigrams: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
@@ -170,8 +208,9 @@ def _class_counts(bigrams: DataFrame, of: np.ndarray, classes: int) -> np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(classes * classes, np.int64)
         for batch in batches:
-            a, b, n = (batch.column(k).to_numpy() for k in range(3))
-            np.add.at(total, shared.value[a] * classes + shared.value[b], n)
+            for a, b, n in map(_pairs, batch.column(0).to_pylist()):
+                cell = shared.value[a].astype(np.int64) * classes + shared.value[b]
+                total += np.bincount(cell, n, classes * classes).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
@@ -193,120 +232,141 @@ def _uncells(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(keys), counts
 
 
+def _pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, n = _uncells(blob)
+    return keys >> 32, keys & 0xFFFFFFFF, n
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def best_class(left: np.ndarray, right: np.ndarray, own: int, counts: np.ndarray) -> int:
-    """The class in which a word adds most to the bigrams' likelihood.
+def best_classes(left: np.ndarray, right: np.ndarray, own: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each word, the class in which it adds most to the bigrams' likelihood.
 
-    left, right: counts of the classes before and after the word. counts:
-    bigrams of classes with the word in class ``own``. Class 0 is not offered.
-    A word's bigrams with itself are taken as with its old class.
+    left, right: words x counts of the classes before and after the word.
+    counts: bigrams of classes with each word in its class ``own``. Class 0 is
+    not offered. A word's bigrams with itself are taken as with its old class.
     """
-    rest = counts.astype(np.float64)
-    rest[own] -= right
-    rest[:, own] -= left
-    rest = np.maximum(rest, 0)
-    out_of, into = rest.sum(1), rest.sum(0)
-    cols, rows = np.flatnonzero(right), np.flatnonzero(left)
-    gain = (_xlogx(rest[:, cols] + right[cols]) - _xlogx(rest[:, cols])).sum(1)
-    gain += (_xlogx(rest[rows] + left[rows, None]) - _xlogx(rest[rows])).sum(0)
-    own_cell = rest.diagonal()  # gets both sides of the word
+    counts = counts.astype(np.float64)
+    each = np.arange(len(own))
+
+    def gains(context: np.ndarray, other: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Of the cells of one side; only classes that are met there matter."""
+        w, k = np.nonzero(context)
+        n = context[w, k][:, None]
+        rest = cells.T[k]  # without the word
+        rest[k == own[w]] -= other[w[k == own[w]]]
+        rest[np.arange(len(w)), own[w]] -= n[:, 0]
+        np.maximum(rest, 0, out=rest)
+        out = np.zeros(context.shape)
+        some, first = np.unique(w, return_index=True)
+        if len(some):
+            out[some] = np.add.reduceat(_xlogx(rest + n) - _xlogx(rest), first)
+        return out
+
+    gain = gains(right, left, counts) + gains(left, right, counts.T)
+    own_cell = np.repeat(counts.diagonal()[None], len(own), 0)  # gets both sides of the word
+    own_cell[each, own] -= right[each, own] + left[each, own]
+    own_cell = np.maximum(own_cell, 0)
     gain += _xlogx(own_cell + right + left) - _xlogx(own_cell + right) - _xlogx(own_cell + left) + _xlogx(own_cell)
-    gain -= _xlogx(out_of + right.sum()) - _xlogx(out_of) + _xlogx(into + left.sum()) - _xlogx(into)
-    gain[0] = -np.inf
-    return int(gain.argmax())
+    for mine, sums in ((right, counts.sum(1)), (left, counts.sum(0))):  # the other side's bigrams stay in these sums, whatever the class
+        all_mine = mine.sum(1)
+        rest = np.repeat(sums[None], len(own), 0)
+        rest[each, own] -= all_mine
+        gain -= _xlogx(rest + all_mine[:, None]) - _xlogx(rest)
+    gain[:, 0] = -np.inf
+    return gain.argmax(1)
+
+
+def best_class(left: np.ndarray, right: np.ndarray, own: int, counts: np.ndarray) -> int:
+    return int(best_classes(left[None], right[None], np.array([own]), counts)[0])
 
 
 def _moved(bigrams: DataFrame, of: np.ndarray, counts: np.ndarray, turn: int, parts: int, classes: int) -> np.ndarray:
     """Classes after one round: every word of this turn's half picks its best."""
     shared = bigrams.sparkSession.sparkContext.broadcast((of, counts))
+    wide = 2 * classes
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value[0]
         for batch in batches:
-            a, b, n = (batch.column(k).to_numpy() for k in range(3))
-            own = shared.value[0]
-            key = np.concatenate([b.astype(np.int64) * 2 * classes + own[a], a.astype(np.int64) * 2 * classes + classes + own[b]])
-            key, at = np.unique(key, return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n, n])).astype(np.int64)
-            word = key // (2 * classes)
-            mine = (word > 0) & (word % 2 == turn % 2)
-            key, n, to = key[mine], n[mine], word[mine] // 2 % parts
-            order = np.argsort(to, kind="stable")
-            key, n, edges = key[order], n[order], np.searchsorted(to[order], np.arange(parts + 1))
-            some = np.flatnonzero(np.diff(edges))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([_cells(key[edges[k]:edges[k + 1]], n[edges[k]:edges[k + 1]]) for k in some], pa.binary())],
-                names=["part", "cells"])
+            for a, b, n in map(_pairs, batch.column(0).to_pylist()):
+                second, first = ((x > 0) & (x % 2 == turn % 2) for x in (b, a))
+                word = np.concatenate([b[second], a[first]])
+                slot = np.concatenate([own[a[second]].astype(np.int64), classes + own[b[first]].astype(np.int64)])
+                # By part, then word, then slot.
+                key, n = _summed((word // 2 % parts) << 48 | word // 2 // parts * wide + slot, np.concatenate([n[second], n[first]]))
+                edges = np.searchsorted(key, np.arange(parts + 1) << 48)
+                some = np.flatnonzero(np.diff(edges))
+                key &= (1 << 48) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([_cells(key[edges[k]:edges[k + 1]], n[edges[k]:edges[k + 1]]) for k in some], pa.binary())],
+                    names=["part", "cells"])
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [_uncells(blob) for b in batches for blob in b.column(1).to_pylist()]
-        if not found:
-            return
-        key, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        slot = key % (2 * classes)
-        words, at = np.unique((key // (2 * classes)).astype(np.int32), return_inverse=True)
-        table = np.bincount(at * 2 * classes + slot, weights=n, minlength=len(words) * 2 * classes).reshape(len(words), 2 * classes)
-        own, counts = shared.value
-        best = [best_class(row[:classes], row[classes:], own[k], counts) for k, row in zip(words, table, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best, pa.int32())], names=["w", "c"])
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(part, []).append(_uncells(blob))
+        of, counts = shared.value
+        for part, found in held.items():
+            key, n = _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            words, first = np.unique(key // wide, return_index=True)
+            first = np.append(first, len(key))
+            words = (words * parts + part) * 2 + turn % 2
+            best = []
+            for at in range(0, len(words), 2000):
+                to = min(at + 2000, len(words))
+                table = np.zeros((to - at, wide))
+                cells = slice(first[at], first[to])
+                table[np.repeat(np.arange(to - at), np.diff(first[at:to + 1])), key[cells] % wide] = n[cells]
+                best.append(best_classes(table[:, :classes], table[:, classes:], of[words[at:to]].astype(np.int64), counts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words.astype("<i4").tobytes()], pa.binary()), pa.array([np.concatenate(best).astype("<i2").tobytes()], pa.binary())], names=["w", "c"])
 
     sent = in_arrow(bigrams, contexts, "part int, cells binary").repartition(parts, "part")
     out = of.copy()
-    for row in in_arrow(sent, move, "w int, c int").collect():  # at most ``rare`` words and the pools
-        out[row["w"]] = row["c"]
+    for row in in_arrow(sent, move, "w binary, c binary").toLocalIterator():  # six bytes a word
+        out[np.frombuffer(row["w"], "<i4")] = np.frombuffer(row["c"], "<i2")
     return out
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], (np.add.reduceat(counts[order], first) if len(first) else counts)
+
+
 @dataclass
 class ClassModel:
-    """number of each word of the exchange; classes by number; log10 of
-    transitions; tokens and types per class; all training tokens and types."""
+    """Classes by word number; log10 of transitions and of what a class's token
+    count is divided by; tokens in training; the end's share of the base score
+    and whether it was seen."""
 
-    number: dict[bytes, int]
     of: np.ndarray
     transition: np.ndarray
-    class_tokens: np.ndarray
-    class_types: np.ndarray
+    divisor: np.ndarray
     tokens: int
-    types: int
-    ends: int
-    rules: ClassRules
-
-    def word_class(self, word: bytes) -> int:
-        return self.of[self.number.get(word) or len(self.number) + 1 + pool_of(word, self.rules.pools)]
+    base_end: float
+    end_known: int
 
 
 def _scored(model, keep: list[str]):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        index: dict[bytes, int] = {}
-        counts: list[int] = []
-        for blob in answers.column("words").to_pylist():
-            words, n = _unpacked(blob)
-            index.update(zip(words, range(len(counts), len(counts) + len(words))))
-            counts += n
-        c = np.array(counts, np.float64)
-        cls = np.fromiter((m.word_class(w) for w in index), np.int64, len(index))
-        place = np.fromiter(index.values(), np.int64, len(index))
-        of = np.zeros(len(c), np.int64)
-        of[place] = cls
-        emit = np.log10(c + 0.5) - np.log10(m.class_tokens[of] + 0.5 * (m.class_types[of] + 1))
-        whole = np.log10(m.tokens + 0.5 * (m.types + 1))
-        base = np.log10(c + 0.5) - whole
-        base_end = float(np.log10(m.ends + 0.5) - whole)
-        out: list[tuple] = []
-        for text in text_bytes(docs.column("_text").combine_chunks()):
-            ids = np.fromiter(map(index.__getitem__, words_of(text)), np.int64)
-            path = np.concatenate([[0], of[ids], [0]])
-            out.append((len(ids) + 1, int((c[ids] > 0).sum()) + (m.ends > 0), float(base[ids].sum()) + base_end,
-                        float(emit[ids].sum() + m.transition[path[:-1], path[1:]].sum())))
-        columns = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.table({**{k: docs.column(k) for k in keep},
-                         "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()),
-                         "train_tokens": pa.array([m.tokens] * len(out), pa.int64()),
-                         "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
+        for batch in batches:
+            score = []
+            for ids, own in zip(_ids(batch.column("_ids")), batch.column("_own").to_pylist(), strict=True):
+                of = m.of[ids]
+                path = np.concatenate([[0], of, [0]])
+                score.append(own + float(m.transition[path[:-1], path[1:]].sum() - m.divisor[of].sum()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keep), pc.add(batch.column("_n"), 1), pc.add(batch.column("_known"), m.end_known),
+                 pa.array([m.tokens] * len(score), pa.int64()), pc.add(batch.column("_base"), m.base_end), pa.array(score, pa.float64())],
+                names=[*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
@@ -320,7 +380,7 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
     10 ** (-score / n_tokens)). Null texts count as empty: one end token.
     Without training rows every count is 0 and both scores are finite.
     """
-    keep = carried(docs, keep, "_text _block held_out n_tokens n_known train_tokens base_score score")
+    keep = carried(docs, keep, "_text _block _n _known _base _own _ids held_out n_tokens n_known train_tokens base_score score")
     spark = docs.sparkSession
     ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = staged(docs.select(
@@ -328,36 +388,42 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
     requests = staged(_requests(blocks, ranges, rules), "requests")
     ends = blocks.where("not held_out").count()
     words = requests.agg(F.sum("tokens")).first()[0] or 0
-    least = max(2, -(-words // rules.rare))
-    answers = staged(_answers(requests, ranges, least, rules), "answers")
-
-    number: dict[bytes, int] = {}
-    often: list[tuple[bytes, int]] = []
-    for row in answers.where("block = -1").toLocalIterator():  # at most ``rare`` words in all
-        often += zip(*_unpacked(row["words"]), strict=True)
-    for w, _ in sorted(often, key=lambda x: (-x[1], x[0])):
-        number[w] = len(number) + 1
+    answers = staged(_answers(requests, ranges, max(1, -(-words // rules.ranked)), rules), "answers")
+
+    size = 1 + rules.pools
+    first: dict[int, int] = {}
+    often: list[tuple[bytes, int, int]] = []
+    for row in answers.where("block = -1").orderBy("range").toLocalIterator():  # at most ``ranked`` words in all
+        first[row["range"]] = size
+        often += ((w, n, size + i) for w, n, i in zip(*_unpacked(row["words"], 2), strict=True) if i >= 0)
+        size += row["n"]
     pool_types = np.zeros(rules.pools, np.int64)
     for row in answers.where("block = -2").toLocalIterator():  # one small row per range
         pool_types += np.array(_unpacked(row["words"])[1])
+    tokens = words + ends
+    types = size - 1 - rules.pools + int(pool_types.sum()) + (ends > 0)
+    whole = float(np.log10(tokens + 0.5 * (types + 1)))
+
+    carry = [*keep, "held_out"]
+    schema = ddl(blocks, carry)
+    numbered = staged(
+        blocks.groupBy("_block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
+            _numbered(first, carry, whole, rules), f"{schema}_n long, _known long, _base double, _own double, _ids binary"), "numbered")
 
     c = rules.classes
-    size = len(number) + 1 + rules.pools
-    of = np.arange(size) % (c - 1) + 1  # by rank, so that the most frequent words begin apart
+    of = (np.arange(size) % (c - 1) + 1).astype(np.min_scalar_type(c))
+    for rank, (_, _, k) in enumerate(sorted(often, key=lambda x: (-x[1], x[0]))):  # so that the most frequent words begin apart
+        of[k] = rank % (c - 1) + 1
     of[0] = 0
-    shared_numbers = spark.sparkContext.broadcast(number)
-    bigrams = _bigrams(blocks, shared_numbers, rules)
+    bigrams = _bigrams(numbered, rules)
     for turn in range(rules.rounds):
         of = _moved(bigrams, of, _class_counts(bigrams, of, c), turn, ranges, c)
     counts = _class_counts(bigrams, of, c).astype(np.float64)
-    tokens = words + ends
-    types = len(number) + int(pool_types.sum()) + (ends > 0)
     class_tokens = counts.sum(0)
-    class_types = np.bincount(of[1:], weights=np.concatenate([np.ones(len(number)), pool_types]), minlength=c)
+    class_types = np.bincount(of[1:], weights=np.concatenate([pool_types, np.ones(size - 1 - rules.pools)]), minlength=c)
     share = (class_tokens + 0.5) / (class_tokens.sum() + 0.5 * c)
     transition = np.log10((counts + rules.prior * share) / (counts.sum(1, keepdims=True) + rules.prior))
+    divisor = np.log10(class_tokens + 0.5 * (class_types + 1))
     model = spark.sparkContext.broadcast(
-        ClassModel(number, of, transition, class_tokens, class_types, tokens, types, ends, rules))
-    schema = ddl(blocks, [*keep, "held_out"])
-    return blocks.groupBy("_block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
-        _scored(model, [*keep, "held_out"]), f"{schema}n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        ClassModel(of, transition, divisor, tokens, float(np.log10(ends + 0.5)) - whole, int(ends > 0)))
+    return in_arrow(numbered, _scored(model, carry), f"{schema}n_tokens long, n_known long, train_tokens long, base_score double, score double")

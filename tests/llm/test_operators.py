@@ -135,6 +135,17 @@ def test_class_ngram(spark, docs, none, fraction):
     assert all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in nobody)
 
 
+def test_rare_words_of_a_large_corpus_have_classes_of_their_own(spark):
+    first, second = ([f"{c}zzz" for c in x] for x in ("abcdefgh", "ijklmnop"))  # the same pool, were they pooled
+    rows = [(i, "fill word " * 20_000) for i in range(15)]
+    rows += [(100 + i, f"fill word {a} word fill {b} fill word") for i, (a, b) in enumerate(zip(first * 4, second * 4, strict=True))]
+    held = [(1000 + i, f"fill word {w} word fill word") for i, w in enumerate(first + second)]
+    docs = spark.createDataFrame(rows + held, "doc_id long, text string").coalesce(4)
+    found = class_ngram.scored(docs, F.col("doc_id") >= 1000, keep=["doc_id"], rules=class_ngram.ClassRules(classes=3))
+    got = {r["doc_id"] - 1000: r["score"] for r in found.where("doc_id >= 1000").collect()}
+    assert min(got[i] for i in range(8)) > max(got[i] for i in range(8, 16))
+
+
 def test_best_class_is_the_best_of_all():
     r = np.random.default_rng(3)
     k, words = 5, 12

@@ -42,8 +42,7 @@ class LabellerRules:
     rate: float = 0.01
     seed: int = 7
     together: int = 64       # pages labelled at a time
-    longest: int = 2000      # leaves read in one go; longer pages are read in overlapping stretches
-    overlap: int = 100       # leaves of context on either side of such a stretch
+    longest: int = 2000      # leaves whose gates are computed in one go; longer pages are read alone, state carried on
 
 
 #: Elements that flow inside a block.
@@ -181,26 +180,30 @@ class Labeller:
             at += n
         return x, mask
 
-    def _read(self, x: np.ndarray, mask: np.ndarray, side: str) -> tuple[np.ndarray, list]:
-        h_size = self.rules.hidden
-        gates = x @ self.w[f"x{side}"] + self.w[f"c{side}"]
+    def _read(self, x: np.ndarray, mask: np.ndarray, side: str, keep: bool = True) -> tuple[np.ndarray, list]:
+        h_size, step = self.rules.hidden, self.rules.longest
         h = c = np.zeros((x.shape[1], h_size))
         out, kept = np.zeros((*x.shape[:2], h_size)), []
-        for t in range(len(x)) if side == "f" else range(len(x) - 1, -1, -1):
-            z = gates[t] + h @ self.w[f"h{side}"]
-            ifo, g = _sigmoid(z[:, :3 * h_size]), np.tanh(z[:, 3 * h_size:])
-            i, f, o = np.split(ifo, 3, axis=1)
-            c_new = (f * c + i * g) * mask[t]  # padding leaves zeros, at either end
-            tanh_c = np.tanh(c_new)
-            kept.append((t, h, c, i, f, o, g, tanh_c))
-            c, h = c_new, o * tanh_c * mask[t]
-            out[t] = h
+        starts = range(0, len(x), step)
+        for a in starts if side == "f" else reversed(starts):
+            gates = x[a:a + step] @ self.w[f"x{side}"] + self.w[f"c{side}"]
+            for k in range(len(gates)) if side == "f" else range(len(gates) - 1, -1, -1):
+                t = a + k
+                z = gates[k] + h @ self.w[f"h{side}"]
+                ifo, g = _sigmoid(z[:, :3 * h_size]), np.tanh(z[:, 3 * h_size:])
+                i, f, o = np.split(ifo, 3, axis=1)
+                c_new = (f * c + i * g) * mask[t]  # padding leaves zeros, at either end
+                tanh_c = np.tanh(c_new)
+                if keep:
+                    kept.append((t, h, c, i, f, o, g, tanh_c))
+                c, h = c_new, o * tanh_c * mask[t]
+                out[t] = h
         return out, kept
 
     def chances(self, pages: list) -> list[np.ndarray]:
         """Of every leaf of every page, the chance that it is main text."""
         x, mask = self._inputs(pages)
-        both = np.concatenate([self._read(x, mask, "f")[0], self._read(x, mask, "b")[0]], axis=2)
+        both = np.concatenate([self._read(x, mask, "f", False)[0], self._read(x, mask, "b", False)[0]], axis=2)
         p = _sigmoid(both @ self.w["out"] + self.w["bias"])[:, :, 0]
         return [p[:len(page[2]), k] for k, page in enumerate(pages)]
 
@@ -242,21 +245,12 @@ class Labeller:
     def main_text(self, pages: list[list[Leaf]]) -> list[list[str]]:
         """Blocks of main text of each page."""
         out: list[list[str]] = [[] for _ in pages]
-        spans: list[tuple[int, int, int, list]] = []  # page, first, last leaf to judge, leaves to read
-        step, side = self.rules.longest, self.rules.overlap
-        for k, page in enumerate(pages):
-            for a in range(0, len(page), step):
-                b = min(a + step, len(page))
-                spans.append((k, a - max(0, a - side), b - max(0, a - side), page[max(0, a - side):b + side]))
-        order = sorted(range(len(spans)), key=lambda s: len(spans[s][3]))
-        judged: dict[int, list[str]] = {}
-        for at in range(0, len(order), self.rules.together):
-            group = order[at:at + self.rules.together]
-            for s, p in zip(group, self.chances([_features(spans[s][3], self.rules) for s in group]), strict=True):
-                _, a, b, read = spans[s]
-                judged[s] = [read[i].text for i in range(a, b) if p[i] > 0.5]
-        for s, (k, *_) in enumerate(spans):
-            out[k] += judged[s]
+        order = sorted((k for k, page in enumerate(pages) if page), key=lambda k: len(pages[k]))
+        short = sum(len(pages[k]) <= self.rules.longest for k in order)
+        groups = [order[at:min(at + self.rules.together, short)] for at in range(0, short, self.rules.together)]
+        for group in [*groups, *([k] for k in order[short:])]:
+            for k, p in zip(group, self.chances([_features(pages[k], self.rules) for k in group]), strict=True):
+                out[k] = [leaf.text for leaf, x in zip(pages[k], p, strict=True) if x > 0.5]
         return out
 
 

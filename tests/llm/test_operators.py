@@ -93,6 +93,16 @@ def test_html_edges(spark):
     assert html_blocks.extracted(spark.createDataFrame([], "id long, html string"), html_blocks.trained()).isEmpty()
 
 
+def test_long_pages_are_read_as_a_whole():
+    net = html_blocks.trained()
+    side = '<div class="box"><ul><li><a href=x>menu</a></li></ul></div>'
+    body = "".join(f"<p><a href=x>w{i}x0 w{i}x1 w{i}x2</a></p>" for i in range(2600))
+    page = html_blocks.leaves(f'<div class="wrapper">{side}<div class="main">{body}</div>{side}</div>')
+    chances = net.chances([html_blocks._features(page, net.rules)])[0]
+    want = [x.text for x, p in zip(page, chances, strict=True) if p > 0.5]
+    assert net.main_text([page]) == [want] and 0 < len(want) < len(page)
+
+
 def test_labeller_gradients():
     rules = html_blocks.LabellerRules(path_buckets=32, word_buckets=16, hidden=3)
     net = html_blocks.Labeller(rules)

@@ -140,9 +140,9 @@ def _union(spans: list[int]) -> int:
 
 
 def pattern_slices(benchmark: DataFrame, width: int, slice_bytes: int) -> Iterator[list[tuple[bytes, list[str]]]]:
-    """Patterns and the ids of their items, in slices whose text stays within
+    """Patterns and the ids of their items (none of items without an id), in slices whose text stays within
     about ``slice_bytes``; at least one slice, empty without items."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("i is not null and t is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // slice_bytes))
     for k in range(n):
@@ -150,7 +150,7 @@ def pattern_slices(benchmark: DataFrame, width: int, slice_bytes: int) -> Iterat
         owners: dict[bytes, set[str]] = defaultdict(set)
         for row in part.toLocalIterator():  # bounded by the slice
             for p in windows(normal_words(row["t"].encode()), width):
-                owners[p].add(row["i"])
+                owners[p].update([] if row["i"] is None else [row["i"]])
         yield [(p, sorted(ids)) for p, ids in owners.items()]
 
 
@@ -165,8 +165,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
             benchmark is searched in several passes over the same rows, one
             after the other in the same task; nothing is shuffled.
 
-    Null text has no words. Items without an id or without words have no
-    windows. Equal windows of several items count for each.
+    Null text has no words. Items without words have no windows;
+    windows of items without an id count for n_hit but name no item. Equal windows of several items count for each.
     """
     keep = carried(docs, keep, "_text _hits _items n_words n_hit items")
     empty = F.array().cast

@@ -363,6 +363,14 @@ def test_benchmark_in_slices(spark, docs):
     assert Counter(map(str, whole)) == Counter(map(str, wu_manber.contamination(docs, bench, keep=["doc_id"], slice_bytes=40).collect()))
 
 
+@pytest.mark.parametrize("slice_bytes", [40, 512 << 10])
+def test_items_without_an_id_are_found_but_not_named(spark, slice_bytes):
+    docs = spark.createDataFrame([(1, "x secret passage here y"), (2, "clean"), (3, "known thing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "Secret passage, here"), (9, "known thing"), (None, None), (None, "known thing")], "item_id long, text string")
+    got = wu_manber.contamination(docs, bench, keep=["doc_id"], slice_bytes=slice_bytes).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in got} == {1: (3, []), 2: (0, []), 3: (2, ["9"])}
+
+
 def test_clean_documents_of_bad_hosts_stay(spark):
     clean = " ".join(f"word{i % 50} thing{i}" for i in range(60))
     rows = [(i, "bad " * 3, "x", "h", 1) for i in range(50)] + [(100, clean, "x", "h", 1), (101, clean + " #" * 90, "x", "h", 1), (102, clean + " #" * 90, "x", "ok", 1)]

@@ -61,4 +61,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j JOIN verdict ON j.source IS NOT DISTINCT FROM verdict.source
 """
 
-ORACLES = {"op8_decontamination": op8, "op9_host_quality": op9}
+op13 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+word AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+vocabulary AS (SELECT lang, term, count(*)::HUGEINT AS n FROM word GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+occurring AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM word SEMI JOIN vocabulary USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM vocabulary GROUP BY lang),
+grp AS (
+    SELECT g.lang, g.source, coalesce(sum(o.n), 0)::HUGEINT AS n
+    FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN occurring o ON o.lang = g.lang AND o.source = g.source
+    GROUP BY g.lang, g.source
+),
+share AS (
+    SELECT grp.lang, grp.source, t.term, o.n IS NOT NULL AS present,
+        1 + (1000000000 * (coalesce(o.n, 0) + 2)) // (grp.n + 2 * size.v) AS p,
+        1 + (1000000000 * (t.n + 2)) // (size.n + 2 * size.v) AS q
+    FROM grp JOIN vocabulary t USING (lang) JOIN size USING (lang)
+        LEFT JOIN occurring o ON o.lang = grp.lang AND o.source = grp.source AND o.term = t.term
+),
+pair AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM share WHERE present AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+ORACLES = {"op8_decontamination": op8, "op9_host_quality": op9, "op13_source_audit": op13}

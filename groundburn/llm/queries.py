@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.llm import byte_bpe, chat, class_ngram, host_quality, html_blocks, language_id, near_dup, sharding, source_audit, token_records, whitening, wu_manber
+from groundburn.llm import byte_bpe, chat, class_ngram, host_quality, html_blocks, language_id, near_dup, packing, sharding, source_audit, token_records, whitening, wu_manber
 from groundburn.llm.base import id_remainder, table
 
 BYTE_BPE = byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -71,6 +71,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identified(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rules = packing.PackRules(WORD_BPE.tokenizer, WORD_BPE.end_id)
+    return packing.packed(table(spark, folder, "documents"), rules, keep=["doc_id"])
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.components_of(table(spark, folder, "embeddings"), keep=["vec_id"])
 
@@ -81,4 +86,4 @@ def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_blocks, op2_class_ngram, op3_near_duplicates, op4_byte_bpe, op5_sharding, op6_chat, op7_token_records, op8_decontamination, op9_host_quality, op10_language_id,
-    op12_whitening, op13_source_audit)}
+    op11_packing, op12_whitening, op13_source_audit)}

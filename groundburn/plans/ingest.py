@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundburn.functions.intermediate import materialise
+from groundburn.functions.intermediate import materialise, materialised
 from groundburn.functions.joins import join_sized
 from groundburn.operators.exploration import cleaning_statistics
 from groundburn.params import Params
@@ -23,22 +23,23 @@ from groundburn.sinks.lake import (
     CONVERTED, SKIPPED, finished_months, flights_path, write_ledger, write_months,
 )
 from groundburn.sources.archives import (
-    VALID, inspect_archives, list_archives, period_columns, read_archives, read_flight_archives,
+    VALID, archive_statuses, flight_rows, list_archives, parse_archives, period_columns,
 )
 from groundburn.sources.flights import read_flights
 
 _MONTH = ["anio", "mes"]
 
+#: Archives are dealt to at most so many tasks.
+MOST_TASKS = 10_000
 
-def _judged(archives: DataFrame, lake: str, run: str) -> DataFrame:
+
+def _judged(inspected: DataFrame, lake: str, run: str) -> DataFrame:
     """One row per archive with its final outcome.
 
     Of several sound archives for one month the first by name is taken. What
     this very run recorded before it was repeated does not count as finished.
     """
-    spark = archives.sparkSession
-    inspected = materialise(inspect_archives(archives))
-    finished = finished_months(spark, lake, run).withColumn("hecho", F.lit(True))
+    finished = finished_months(inspected.sparkSession, lake, run).withColumn("hecho", F.lit(True))
     first = (
         inspected.where(F.col("estado") == VALID).groupBy(*_MONTH).agg(F.min("archivo").alias("elegido"))
     )
@@ -53,16 +54,22 @@ def _judged(archives: DataFrame, lake: str, run: str) -> DataFrame:
 
 
 def convert(archives: DataFrame, lake: str, run: str) -> DataFrame:
-    """Convert a set of (archivo, content) rows; the report of the run.
+    """Convert a set of archives (their paths in ``archivo``); the report of the run.
 
-    The months are written before the ledger. A run that dies can be repeated
-    under its name at any point, with the same result.
+    Every archive is read once, into a typed table that is kept only until its
+    months are written; what could be read of a bad archive is left behind
+    there. From that table on, rows no longer belong to the task that unpacked
+    them. The months are written before the ledger. A run that dies can be
+    repeated under its name at any point, with the same result.
     """
     spark = archives.sparkSession
-    judged = materialise(_judged(archives, lake, run))
-    accepted = judged.where(F.col("estado") == CONVERTED)
-    write_months(read_flight_archives(
-        join_sized(archives, accepted.select("archivo"), ["archivo"], "left_semi")), lake)
+    paths = archives.select("archivo")
+    paths = paths.repartition(max(1, min(paths.count(), MOST_TASKS)))
+    with materialised(parse_archives(paths)) as parsed:
+        judged = materialise(_judged(archive_statuses(parsed), lake, run))
+        accepted = judged.where(F.col("estado") == CONVERTED)
+        rows = join_sized(flight_rows(parsed), accepted.select("archivo"), ["archivo"], "left_semi")
+        write_months(rows.drop("archivo"), lake)
     converted_rows = (
         read_flights(spark, flights_path(lake))
         .select(*[F.col(c).alias(name) for c, name in zip(PARTITIONS, _MONTH)])
@@ -72,27 +79,26 @@ def convert(archives: DataFrame, lake: str, run: str) -> DataFrame:
     counted = accepted.join(converted_rows, _MONTH, "left")
     others = judged.where(F.col("estado") != CONVERTED).withColumn("filas", F.lit(None).cast("long"))
     columns = ["archivo", *_MONTH, "estado", "columnas_faltantes", "filas"]
-    return write_ledger(counted.select(columns).unionByName(others.select(columns)), lake, run)
+    report = counted.select(columns).unionByName(others.select(columns))
+    return write_ledger(report, lake, run)
 
 
 def ingest(spark: SparkSession, folder: str, lake: str) -> DataFrame:
     """Bring the lake up to date with a folder of archives; one report row per archive.
 
     Archives of finished months are told from the listing and never opened.
+    They are reported, but the ledger records only archives that were opened.
     """
     year, month = period_columns(F.col("archivo"))
-    listed = list_archives(spark, folder).select("archivo", year.alias("anio"), month.alias("mes"))
-    finished = finished_months(spark, lake)
-    # Paths only, one per archive: the listing itself already lives on the driver.
-    pending = [row.archivo for row in listed.join(finished, _MONTH, "left_anti").select("archivo").collect()]
-    run = uuid.uuid4().hex
+    listed = materialise(list_archives(spark, folder).select("archivo", year.alias("anio"), month.alias("mes")))
+    finished = materialise(finished_months(spark, lake))
+    pending = listed.join(finished, _MONTH, "left_anti").select("archivo")
     skipped = listed.join(finished, _MONTH, "left_semi").select(
         "archivo", *_MONTH, F.lit(SKIPPED).alias("estado"),
         F.lit(None).cast("array<string>").alias("columnas_faltantes"), F.lit(None).cast("long").alias("filas"))
-    skipped = write_ledger(skipped, lake, f"{run}-omitidos")
-    if not pending:
+    if pending.isEmpty():
         return skipped
-    return convert(read_archives(spark, pending), lake, run).unionByName(skipped)
+    return convert(pending, lake, uuid.uuid4().hex).unionByName(skipped)
 
 
 def run_flow(

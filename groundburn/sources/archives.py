@@ -1,17 +1,18 @@
 """Monthly archives: one ZIP with one CSV each, named ``..._<year>_<month>.zip``.
 
-A ZIP cannot be split, so each archive is read by one task; different archives
-are read in parallel and the CSV is decoded in batches, never held whole.
+A ZIP cannot be split, so each archive is read by one task, as a stream from
+its path: neither the archive nor its CSV is ever held whole. One pass over an
+archive gives both its rows and, at the end, what became of it, so the rows of
+an archive count only once its status row says that all of it could be read.
 """
 
 from __future__ import annotations
 
 import csv
-import io
 import re
 import zipfile
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,14 @@ VALID, CORRUPT, INCOMPLETE, MISNAMED = "valido", "zip_corrupto", "esquema_incomp
 RAGGED, ENCODING, SEVERAL = "csv_danado", "codificacion_invalida", "varios_csv"
 
 _PERIOD = r"_(\d{4})_(\d{1,2})\.zip$"
-_INSPECTION = (
-    "archivo string, anio long, mes long, estado string, columnas_faltantes array<string>, "
-    "bytes_zip long, bytes_csv long"
-)
-#: What opening or reading a damaged archive raises.
-_DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, OSError)
+_STATUS = "estado string, columnas_faltantes array<string>, bytes_zip long, bytes_csv long"
+#: What opening or reading a damaged archive raises. RuntimeError: an encrypted member.
+_DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, OSError, RuntimeError)
 _BLOCK = 8 << 20
+_LONGEST_HEADER = 1 << 20
+
+#: Columns taken from a CSV; the partition columns come from the archive's name.
+_COLUMNS = [c for c in FLIGHT.names if c not in PARTITIONS]
 
 
 def list_archives(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
@@ -41,11 +43,6 @@ def list_archives(spark: SparkSession, folder: str, pattern: str = "*.zip") -> D
     )
 
 
-def read_archives(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Path and bytes of the given archives."""
-    return spark.read.format("binaryFile").load(list(paths)).select(F.col("path").alias("archivo"), "content")
-
-
 def period_columns(path: Column) -> tuple[Column, Column]:
     """Year and month in an archive's name; NULL when it carries none."""
     def part(group: int) -> Column:
@@ -55,51 +52,125 @@ def period_columns(path: Column) -> tuple[Column, Column]:
     return part(1), part(2)
 
 
-def _csv_members(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
-    return [m for m in archive.infolist() if m.filename.lower().endswith(".csv")]
-
+def _opened(path: str):
+    """The file behind a path, for reads in any place. Single-slash URIs are
+    what Hadoop calls local files; s3a is another name of s3."""
+    from pyarrow import fs
 
-def _header(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> list[str]:
-    with archive.open(member) as raw:
-        return next(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig")), [])
+    uri = re.sub(r"^(\w+):/(?!/)", r"\1:///", path)
+    store, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+    return store.open_input_file(name)
 
 
-def _decoded(archive: zipfile.ZipFile, member: zipfile.ZipInfo, columns: list[str]) -> Iterator:
-    """Batches of a CSV member with the given columns as text; a row with too
-    few or many fields, or a byte that is not UTF-8, raises a ValueError."""
+def _archive(file) -> zipfile.ZipFile:
+    try:
+        return zipfile.ZipFile(file)
+    except ValueError as error:  # a file too short to hold what it is asked for
+        raise zipfile.BadZipFile(str(error)) from error
+
+
+class _Member:
+    """A CSV member as a stream that shows its first line beforehand and keeps
+    what reading it raised, whatever the CSV reader makes of that."""
+
+    closed = False
+
+    def __init__(self, stream):
+        self.stream, self.failure = stream, None
+        self.ahead = b""
+        while b"\n" not in self.ahead and len(self.ahead) < _LONGEST_HEADER:
+            more = self._more(64 << 10)
+            if not more:
+                break
+            self.ahead += more
+
+    def _more(self, n: int) -> bytes:
+        try:
+            return self.stream.read(n)
+        except Exception as error:
+            self.failure = error
+            raise
+
+    def header(self) -> list[str]:
+        line = self.ahead.split(b"\n", 1)[0].decode("utf-8-sig")
+        return next(csv.reader([line.rstrip("\r")]), [])
+
+    def has_rows(self) -> bool:
+        if self.ahead.endswith(b"\n") and self.ahead.count(b"\n") == 1:
+            self.ahead += self._more(64 << 10)
+        return bool(self.ahead.partition(b"\n")[2])
+
+    def read(self, n: int = -1) -> bytes:
+        if self.ahead:
+            n = len(self.ahead) if n < 0 else n
+            out, self.ahead = self.ahead[:n], self.ahead[n:]
+            return out
+        return self._more(n)
+
+    def readable(self) -> bool:
+        return True
+
+    def close(self) -> None:
+        pass
+
+    def drain(self) -> None:
+        """The rest, for its checksum."""
+        self.ahead = b""
+        while self._more(_BLOCK):
+            pass
+
+
+def _batches(member: _Member, header: list[str]) -> Iterator:
+    """The CSV as text, every column of it. A row with too few or many fields,
+    or a byte that is not UTF-8 in any column, raises a ValueError."""
     import pyarrow as pa
     from pyarrow import csv as pacsv
 
-    with archive.open(member) as stream:
-        yield from pacsv.open_csv(
-            stream,
-            read_options=pacsv.ReadOptions(block_size=_BLOCK),
-            parse_options=pacsv.ParseOptions(newlines_in_values=True),
-            convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.string() for c in columns},
-                include_columns=columns, include_missing_columns=True,
-                strings_can_be_null=True, null_values=[""],
-            ),
-        )
-
-
-def _inspect(path: str, content: bytes) -> dict:
-    named = re.search(_PERIOD, path)
-    found = {
-        "archivo": path, "estado": VALID, "columnas_faltantes": [],
-        "anio": int(named[1]) if named else None, "mes": int(named[2]) if named else None,
-        "bytes_zip": len(content), "bytes_csv": 0,
-    }
+    yield from pacsv.open_csv(
+        pa.PythonFile(member, mode="r"),
+        read_options=pacsv.ReadOptions(block_size=_BLOCK, use_threads=False),
+        parse_options=pacsv.ParseOptions(newlines_in_values=True),
+        convert_options=pacsv.ConvertOptions(
+            column_types={c: pa.string() for c in header}, strings_can_be_null=True, null_values=[""]),
+    )
+
+
+def _sizes(archive: zipfile.ZipFile) -> tuple[list[zipfile.ZipInfo], int]:
+    members = [m for m in archive.infolist() if m.filename.lower().endswith(".csv")]
+    return members, sum(m.file_size for m in members)
+
+
+def _read_one(path: str) -> Iterator:
+    """Batches of (archivo, columns) of an archive, then the status as a dict."""
+    import pyarrow as pa
+
+    found = {"archivo": path, "estado": VALID, "columnas_faltantes": [], "bytes_zip": 0, "bytes_csv": 0}
+    damaged, member = None, None
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            members = _csv_members(archive)
-            found["bytes_csv"] = sum(m.file_size for m in members)
-            damaged = CORRUPT if archive.testzip() is not None else SEVERAL if len(members) > 1 else None
-            columns = _header(archive, members[0]) if members and not damaged else []
-            found["columnas_faltantes"] = sorted(set(REQUIRED) - set(columns))
-            if columns and not damaged and not found["columnas_faltantes"]:
-                for _ in _decoded(archive, members[0], list(REQUIRED)):
-                    pass
+        with _opened(path) as file:
+            found["bytes_zip"] = file.size()
+            with _archive(file) as archive:
+                members, found["bytes_csv"] = _sizes(archive)
+                damaged = SEVERAL if len(members) > 1 else None
+                for other in archive.infolist():
+                    if damaged or other not in members:
+                        with archive.open(other) as stream:
+                            _Member(stream).drain()
+                header = []
+                if members and not damaged:
+                    with archive.open(members[0]) as stream:
+                        member = _Member(stream)
+                        header = member.header()
+                        found["columnas_faltantes"] = sorted(set(REQUIRED) - set(header))
+                        if not found["columnas_faltantes"] and member.has_rows():
+                            place = {c: i for i, c in reversed(list(enumerate(header)))}
+                            for batch in _batches(member, header):
+                                names = pa.array([path] * batch.num_rows, pa.string())
+                                yield names, [
+                                    batch.column(place[c]) if c in place else pa.nulls(batch.num_rows, pa.string()) for c in _COLUMNS]
+                        member.drain()
+                else:
+                    found["columnas_faltantes"] = sorted(REQUIRED)
     except UnicodeDecodeError:
         damaged = ENCODING
     except _DAMAGE:
@@ -108,53 +179,43 @@ def _inspect(path: str, content: bytes) -> dict:
         damaged = ENCODING if "UTF8" in str(error) else RAGGED
     except csv.Error:
         damaged = RAGGED
+    if member is not None and member.failure is not None:
+        damaged = CORRUPT
     if damaged:
         found.update(estado=damaged, columnas_faltantes=[])
     elif found["columnas_faltantes"]:
         found["estado"] = INCOMPLETE
-    elif not named:
+    elif not re.search(_PERIOD, path):
         found["estado"] = MISNAMED
-    return found
+    yield found
 
 
-def inspect_archives(archives: DataFrame) -> DataFrame:
-    """One row per archive: outcome, missing columns, compressed and CSV size.
-
-    Every byte is read once, so damage anywhere in a file is found here,
-    before any month is touched.
-    """
-    def rows(frames: Iterator) -> Iterator:
-        import pandas as pd
-
-        for frame in frames:
-            for path, content in zip(frame["archivo"], frame["content"]):
-                yield pd.DataFrame([_inspect(path, content)])
-
-    return archives.mapInPandas(rows, _INSPECTION)
-
-
-def read_flight_archives(archives: DataFrame) -> DataFrame:
-    """Rows of sound archives with the declared flight types.
+def parse_archives(paths: DataFrame) -> DataFrame:
+    """Rows and status rows of the archives in column ``archivo``, from one pass
+    over each: the declared flight columns, ``archivo``, and a status that is
+    NULL on rows and last of each archive.
 
     Values that cannot be read as their type become NULL, as do columns the
     file lacks. Year and Month are those of the archive, so a month can only
     ever replace itself.
     """
-    columns = [c for c in FLIGHT.names if c not in PARTITIONS]
-    raw = T.StructType([T.StructField("archivo", T.StringType())]
-                       + [T.StructField(c, T.StringType()) for c in columns])
+    raw = T.StructType([T.StructField("archivo", T.StringType()), *T.StructType.fromDDL(_STATUS).fields,
+                        *[T.StructField(c, T.StringType()) for c in _COLUMNS]])
 
-    def batches(records: Iterator) -> Iterator:
+    def run(records: Iterator) -> Iterator:
         import pyarrow as pa
 
+        status = [pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()]
+        names = raw.names
         for record in records:
-            for path, content in zip(record.column(0), record.column(1)):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    for batch in _decoded(archive, _csv_members(archive)[0], columns):
-                        names = pa.array([path.as_py()] * batch.num_rows, pa.string())
-                        yield pa.RecordBatch.from_arrays(
-                            [names, *[batch.column(c).cast(pa.string()) for c in columns]],
-                            names=["archivo", *columns])
+            for path in record.column(0).to_pylist():
+                for part in _read_one(path):
+                    if isinstance(part, dict):
+                        columns = [pa.array([part[n]], t) for n, t in zip(names[:5], [pa.string(), *status], strict=True)]
+                        columns += [pa.nulls(1, pa.string())] * len(_COLUMNS)
+                    else:
+                        columns = [part[0], *(pa.nulls(len(part[0]), t) for t in status), *part[1]]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def typed(field: T.StructField) -> Column:
         kind = field.dataType.simpleString()
@@ -164,8 +225,19 @@ def read_flight_archives(archives: DataFrame) -> DataFrame:
         return F.expr(f"try_cast({field.name} AS {kind})").alias(field.name)
 
     year, month = period_columns(F.col("archivo"))
-    return archives.mapInArrow(batches, raw).select(
-        *[typed(f) for f in FLIGHT.fields if f.name in columns], year.alias("Year"), month.alias("Month"))
+    return paths.select("archivo").mapInArrow(run, raw).select(
+        *raw.names[:5], *[typed(f) for f in FLIGHT.fields if f.name in _COLUMNS], year.alias("Year"), month.alias("Month"))
+
+
+def archive_statuses(parsed: DataFrame) -> DataFrame:
+    """One row per archive of :func:`parse_archives`: outcome, missing columns, sizes, month."""
+    return parsed.where(F.col("estado").isNotNull()).select(
+        "archivo", F.col("Year").alias("anio"), F.col("Month").alias("mes"), "estado", "columnas_faltantes", "bytes_zip", "bytes_csv")
+
+
+def flight_rows(parsed: DataFrame) -> DataFrame:
+    """Flight rows of :func:`parse_archives`, with ``archivo``."""
+    return parsed.where(F.col("estado").isNull()).select("archivo", *FLIGHT.names)
 
 
 def file_volume(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
@@ -174,9 +246,34 @@ def file_volume(spark: SparkSession, folder: str, pattern: str = "*.zip") -> Dat
         F.count(F.lit(1)).alias("archivos"), F.coalesce(F.sum("bytes_zip"), F.lit(0)).alias("bytes"))
 
 
-def input_volume(inspected: DataFrame, minimum_gb: float = 1.5) -> DataFrame:
+def archive_sizes(paths: DataFrame) -> DataFrame:
+    """Archive and CSV bytes from each archive's directory, nothing decompressed.
+    One that cannot be opened has no CSV bytes."""
+    def run(records: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for record in records:
+            sizes = []
+            for path in record.column(0).to_pylist():
+                packed = plain = 0
+                try:
+                    with _opened(path) as file:
+                        packed = file.size()
+                        with _archive(file) as archive:
+                            plain = _sizes(archive)[1]
+                except _DAMAGE:
+                    pass
+                sizes.append((path, packed, plain))
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("archivo", "bytes_zip", "bytes_csv"), s, strict=True)) for s in sizes],
+                schema=pa.schema([("archivo", pa.string()), ("bytes_zip", pa.int64()), ("bytes_csv", pa.int64())]))
+
+    return paths.select("archivo").mapInArrow(run, "archivo string, bytes_zip long, bytes_csv long")
+
+
+def input_volume(sizes: DataFrame, minimum_gb: float = 1.5) -> DataFrame:
     """Archives, compressed and CSV bytes, and whether the CSV reaches a minimum size."""
-    return inspected.agg(
+    return sizes.agg(
         F.count(F.lit(1)).alias("archivos"),
         F.coalesce(F.sum("bytes_zip"), F.lit(0)).alias("bytes_zip"),
         F.coalesce(F.sum("bytes_csv"), F.lit(0)).alias("bytes_csv"),

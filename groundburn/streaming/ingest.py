@@ -20,11 +20,11 @@ _BINARY_FILE = "path string, modificationTime timestamp, length long, content bi
 
 
 def archive_stream(spark: SparkSession, folder: str, max_files: int = 64) -> DataFrame:
-    """Archives appearing in a folder, with their bytes."""
+    """Paths of archives appearing in a folder; their bytes are left where they are."""
     return (
         spark.readStream.format("binaryFile").schema(_BINARY_FILE)
         .option("pathGlobFilter", "*.zip").option("maxFilesPerTrigger", max_files).load(folder)
-        .select(F.col("path").alias("archivo"), "content")
+        .select(F.col("path").alias("archivo"))
     )
 
 

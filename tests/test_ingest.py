@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import zipfile
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 
@@ -14,7 +16,8 @@ from groundburn.plans.ingest import convert, ingest, run_flow
 from groundburn.schema import REQUIRED
 from groundburn.sinks.lake import flights_path
 from groundburn.sinks.tables import read_published
-from groundburn.sources.archives import file_volume, input_volume, inspect_archives, read_archives
+from groundburn.sources import archives
+from groundburn.sources.archives import archive_sizes, file_volume, input_volume, list_archives
 from groundburn.sources.flights import one_month, read_flights
 from groundburn.sources.weather import read_weather_csv
 from groundburn.streaming.ingest import start_ingest
@@ -62,6 +65,74 @@ def test_a_bad_archive_stops_no_other(spark, landed, tmp_path):
     assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1}
 
 
+@pytest.mark.parametrize("column", ["OriginCityName", "Div3Airport", "Reporting_Airline", "no_such_column", ""])
+def test_one_bad_byte_in_any_column_is_one_status(spark, tmp_path, column):
+    """Far into the file, so that rows before it were already read."""
+    folder, lake = tmp_path / "raw", str(tmp_path / "lake")
+    folder.mkdir()
+    header = [*HEADER[:-1], "no_such_column", ""]
+    for month in range(1, 5):
+        rows = [[*next(csv.reader([_row(2023, month, number=str(i))]))[:-1], "x", ""] for i in range(20_000)]
+        if month == 3:
+            rows[15_000][header.index(column)] = "caf\xe9"
+        text = "\n".join([",".join(header), *(",".join(f'"{v}"' if "," in v else v for v in r) for r in rows)]) + "\n"
+        with zipfile.ZipFile(folder / _name(2023, month), "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("flights.csv", text.encode("latin-1"))
+    report = _report(run(spark, ["ingest", "--archives", str(folder), "--lake", lake]))
+    assert {k: v[:2] for k, v in report.items()} == {
+        **{f"2023_{m}.zip": ("convertido", 20_000) for m in (1, 2, 4)}, "2023_3.zip": ("codificacion_invalida", None)}
+    assert _months(spark, lake) == {(2023, m): 20_000 for m in (1, 2, 4)}
+    again = _report(run(spark, ["ingest", "--archives", str(folder), "--lake", lake]))
+    assert again["2023_3.zip"][0] == "codificacion_invalida" and again["2023_1.zip"][0] == "omitido"
+
+
+def test_every_byte_is_decompressed_once_and_nothing_stays_staged(spark, landed, tmp_path, monkeypatch):
+    """Counted in this process, on the generator that tasks run."""
+    read = []
+    whole = zipfile.ZipExtFile.read
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", lambda self, n=-1: (read.append(len(out := whole(self, n))), out)[1])
+    parts = list(archives._read_one(str(landed / _name(2023, 1))))
+    assert parts[-1]["estado"] == "valido" and sum(len(names) for names, _ in parts[:-1]) == 3
+    with zipfile.ZipFile(landed / _name(2023, 1)) as z:
+        assert sum(read) == sum(m.file_size for m in z.infolist())
+    monkeypatch.undo()
+    before = {p.name for p in _staged(spark)}
+    ingest(spark, str(landed), str(tmp_path / "lake"))
+    new = [p for p in _staged(spark) if p.name not in before]
+    assert not any("TaxiOut" in spark.read.parquet(str(p)).columns for p in new)
+
+
+def _staged(spark):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")) / spark.sparkContext.applicationId
+    return list(folder.glob("*")) if folder.exists() else []
+
+
+def test_paths_of_other_stores():
+    with pytest.raises(FileNotFoundError):
+        archives._opened("file:/no/such/file.zip")
+    status = list(archives._read_one("file:///no/such_2023_1.zip"))
+    assert [s["estado"] for s in status] == ["zip_corrupto"]
+
+
+def test_odd_members(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / _name(2023, 1), "w") as z:
+        z.writestr("flights.csv", "")
+    with zipfile.ZipFile(folder / _name(2023, 2), "w") as z:
+        z.writestr("flights.csv", "\ufeff" + ",".join(HEADER) + "\r\n" + _row(2023, 2) + "\r\n")
+    with zipfile.ZipFile(folder / _name(2023, 3), "w") as z:
+        z.writestr("readme.html", "no table")
+    with zipfile.ZipFile(folder / _name(2023, 4), "w") as z:
+        z.writestr("flights.csv", ",".join(HEADER))
+    with zipfile.ZipFile(folder / _name(2023, 5), "w") as z:
+        z.writestr("flights.csv", ",".join([*HEADER[:-1], "TaxiOut"]) + "\n" + _row(2023, 5) + "99\n")
+    report = _report(ingest(spark, str(folder), str(tmp_path / "lake")))
+    assert report["2023_1.zip"][0] == report["2023_3.zip"][0] == "esquema_incompleto"
+    assert report["2023_2.zip"][:2] == ("convertido", 1) and report["2023_4.zip"][0] == "convertido"
+    assert one_month(read_flights(spark, flights_path(str(tmp_path / "lake"))), 2023, 5).first().TaxiOut == 15.0
+
+
 def test_whole_numbers_are_not_cut(spark, landed, tmp_path):
     lake = str(tmp_path / "lake")
     _archive(landed, 2023, 6, [_row(2023, 6, crs="930.7"), _row(2023, 6, crs="930.00")])
@@ -182,11 +253,11 @@ def test_stream_converts_each_archive_once(spark, landed, tmp_path):
 
 
 def test_a_repeated_run_has_the_same_outcome(spark, landed, tmp_path):
-    lake, paths = str(tmp_path / "lake"), [str(f) for f in landed.glob("*.zip")]
-    first, again = (_report(convert(read_archives(spark, paths), lake, "flujo-0")) for _ in range(2))
+    lake, paths = str(tmp_path / "lake"), list_archives(spark, str(landed))
+    first, again = (_report(convert(paths, lake, "flujo-0")) for _ in range(2))
     assert first == again and first["2023_1.zip"][:2] == ("convertido", 3)
     assert _months(spark, lake) == {(2023, 1): 3, (2023, 2): 1}
-    assert {state for state, _, _ in _report(convert(read_archives(spark, paths), lake, "flujo-1")).values()} == {
+    assert {state for state, _, _ in _report(convert(paths, lake, "flujo-1")).values()} == {
         "omitido", "zip_corrupto", "esquema_incompleto"}
 
 
@@ -194,12 +265,12 @@ def test_volume(spark, landed):
     files = sorted(landed.glob("*.zip"))
     listed = file_volume(spark, str(landed)).first()
     assert (listed.archivos, listed.bytes) == (4, sum(f.stat().st_size for f in files))
-    inspected = inspect_archives(read_archives(spark, [str(f) for f in files]))
-    total = input_volume(inspected).first()
+    sizes = archive_sizes(list_archives(spark, str(landed)))
+    total = input_volume(sizes).first()
     expected = sum(i.file_size for f in files if zipfile.is_zipfile(f)
                    for i in zipfile.ZipFile(f).infolist() if i.filename.endswith(".csv"))
     assert (total.bytes_zip, total.bytes_csv, total.cumple_minimo) == (listed.bytes, expected, False)
-    assert input_volume(inspected, expected / 1e9).first().cumple_minimo
+    assert input_volume(sizes, expected / 1e9).first().cumple_minimo
 
 
 def test_flow_publishes_over_the_whole_lake(spark, landed, tmp_path):

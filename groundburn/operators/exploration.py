@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,32 +17,38 @@ from groundburn.operators.measures import roll_up
 from groundburn.params import Params
 
 
+_COUNTERS = (
+    "filas", "taxiout_nulo", "taxiin_nulo", "vuelos_validos", "cancelados", "desviados", "crs_2400",
+    "desviados_dentro_de_validos", "grupo_hora_24_cast",
+)
+TAXI_PAIR_SCHEMA = "TaxiOut double, TaxiIn double, " + ", ".join(f"{name} long" for name in _COUNTERS)
+
+
+def taxi_pairs(flights: DataFrame, p: Params, keys: Sequence[str] = ()) -> DataFrame:
+    """Counters per pair of taxi times: they add up, and there are few pairs."""
+    conditions = (
+        F.lit(True), F.col("TaxiOut").isNull(), F.col("TaxiIn").isNull(), both_valid(p), flagged("Cancelled"),
+        flagged("Diverted"), F.col("CRSDepTime") == 2400, both_valid(p) & flagged("Diverted"), false_hour_24(p),
+    )
+    return flights.groupBy(*keys, "TaxiOut", "TaxiIn").agg(
+        *[tally(c).alias(name) for name, c in zip(_COUNTERS, conditions, strict=True)])
+
+
 def cleaning_statistics(flights: DataFrame, p: Params) -> DataFrame:
-    """One row of global statistics, cap not applied to them.
+    """One row of global statistics, cap not applied to them, from one scan."""
+    return cleaning_from(taxi_pairs(flights, p))
+
 
-    Every flight contributes one value per taxi column. Counting the pairs
-    (column, value) gives the quantiles, and the flags are summed alongside on
-    the departure rows, so one scan answers everything.
+def cleaning_from(pairs: DataFrame) -> DataFrame:
+    """:func:`cleaning_statistics` from :func:`taxi_pairs`, of any keys.
+
+    A pair stands once under each of its two columns, weighted by its rows;
+    flags are added up under the first alone.
     """
-    counters = {
-        "filas": F.lit(True),
-        "taxiout_nulo": F.col("TaxiOut").isNull(),
-        "taxiin_nulo": F.col("TaxiIn").isNull(),
-        "vuelos_validos": both_valid(p),
-        "cancelados": flagged("Cancelled"),
-        "desviados": flagged("Diverted"),
-        "crs_2400": F.col("CRSDepTime") == 2400,
-        "desviados_dentro_de_validos": both_valid(p) & flagged("Diverted"),
-        "grupo_hora_24_cast": false_hour_24(p),
-    }
-    both_columns = flights.select(
-        *[c.cast("long").alias(name) for name, c in counters.items()], "TaxiOut", "TaxiIn",
-    ).unpivot(list(counters), ["TaxiOut", "TaxiIn"], Q.VARIABLE, Q.VALUE)
+    both_columns = pairs.unpivot(list(_COUNTERS), ["TaxiOut", "TaxiIn"], Q.VARIABLE, Q.VALUE)
     once = F.col(Q.VARIABLE) == "TaxiOut"
     counted = both_columns.groupBy(Q.VARIABLE, Q.VALUE).agg(
-        F.count(F.lit(1)).alias(Q.WEIGHT),
-        *[F.sum(F.when(once, F.col(name))).alias(name) for name in counters],
-    )
+        F.sum("filas").alias(Q.WEIGHT), *[F.sum(F.when(once, F.col(name))).alias(name) for name in _COUNTERS])
     out, arr = F.col(Q.VARIABLE) == "TaxiOut", F.col(Q.VARIABLE) == "TaxiIn"
 
     def average(only):

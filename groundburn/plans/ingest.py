@@ -8,6 +8,7 @@ only itself.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 
 from groundburn.functions.intermediate import materialise, materialised
 from groundburn.functions.joins import join_sized
-from groundburn.operators.exploration import cleaning_statistics
+from groundburn.operators.exploration import cleaning_from
 from groundburn.params import Params
-from groundburn.plans.publish import emission_tables, publish
+from groundburn.plans.publish import lake_tables, publish, verify_published
+from groundburn.plans.refresh import read_partials
 from groundburn.schema import PARTITIONS
 from groundburn.sinks.lake import (
     CONVERTED, SKIPPED, finished_months, flights_path, write_ledger, write_months,
@@ -103,16 +105,26 @@ def ingest(spark: SparkSession, folder: str, lake: str) -> DataFrame:
 
 def run_flow(
     spark: SparkSession, folder: str, lake: str, weather: DataFrame, out: str, p: Params,
-    fuel_low: float | None = None,
+    fuel_low: float | None = None, file_format: str = "parquet", verify: bool = False, known: Mapping | None = None,
 ) -> dict:
     """Ingest, measure data quality, and publish figures over the whole lake.
 
-    ``fuel_low`` replaces the low fuel rate for this run only.
+    Only months that changed are read. With ``verify`` the figures are computed
+    again from all flights, and nothing is published unless they agree, with
+    the ``known`` ones too. ``fuel_low`` replaces the low fuel rate for this run only.
     """
     if fuel_low is not None:
         p = replace(p, fuel_low=fuel_low)
     report = ingest(spark, folder, lake)
-    flights = read_flights(spark, flights_path(lake))
-    quality = cleaning_statistics(flights, p)
-    paths = publish(emission_tables(flights, weather, p), out)
+    tables = lake_tables(spark, lake, weather, p)
+    quality = cleaning_from(read_partials(spark, lake)["calidad"])
+    paths = publish(tables, out, file_format, gate(spark, lake, p, known) if verify else None)
     return {"report": report, "quality": quality, "published": paths}
+
+
+def gate(spark: SparkSession, lake: str, p: Params, known: Mapping | None = None) -> Callable[[Mapping[str, DataFrame]], None]:
+    """What keeps tables from being published unless the lake's flights give the same figures."""
+    def check(tables: Mapping[str, DataFrame]) -> None:
+        verify_published(read_flights(spark, flights_path(lake)), tables, p, known)
+
+    return check

@@ -137,3 +137,11 @@ KEYS: dict[str, tuple[str, ...]] = {
     "escenario_ahorro": ("concepto",),
     "benchmark_salida": ("aeropuerto", "anio", "mes", "hora"),
 }
+
+#: Types that stored tables are read with: the contracts', and those of tables without one.
+STORED: dict[str, T.StructType] = {
+    **{name: contract for name, contract in CONTRACTS.items() if contract.fields},
+    "benchmark_salida": _struct(
+        ("aeropuerto", _TEXT), ("anio", _LONG), ("mes", _LONG), ("hora", _LONG), ("min_rodaje_salida", _DOUBLE), ("vuelos", _LONG)),
+    "clima": WEATHER,
+}

@@ -50,15 +50,22 @@ def write_ledger(rows: DataFrame, lake: str, run: str) -> DataFrame:
     return read_ledger(rows.sparkSession, lake).where(F.col("run") == run).drop("run")
 
 
-def stored_months(spark: SparkSession, lake: str) -> DataFrame:
-    """Months that have data files, from the file listing alone."""
+def month_files(spark: SparkSession, lake: str) -> DataFrame:
+    """Data files of every month, from the listing alone: path, length, modificationTime, anio, mes."""
     root = flights_path(lake)
+    empty = spark.createDataFrame([], "path string, length long, modificationTime timestamp, anio long, mes long")
     if not path_exists(spark, root):
-        return spark.createDataFrame([], "anio long, mes long")
+        return empty
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
     if not set(PARTITIONS) <= set(files.columns):
-        return spark.createDataFrame([], "anio long, mes long")
-    return files.select(*[F.col(c).cast("long").alias(name) for c, name in zip(PARTITIONS, ("anio", "mes"))]).distinct()
+        return empty
+    return files.select("path", "length", "modificationTime",
+                        *[F.col(c).cast("long").alias(name) for c, name in zip(PARTITIONS, ("anio", "mes"))])
+
+
+def stored_months(spark: SparkSession, lake: str) -> DataFrame:
+    """Months that have data files."""
+    return month_files(spark, lake).select("anio", "mes").distinct()
 
 
 def finished_months(spark: SparkSession, lake: str, apart_from: str = "") -> DataFrame:

@@ -49,9 +49,9 @@ class AuditRules:
     least_documents: int = 10      # of a language, that make a term count
     top: int = 10                  # ranks of terms
     unit: int = 1_000_000_000      # of a share
-    block_bytes: int = 16 << 20    # of text in a block; a longer document is a block of its own
+    block_bytes: int = 10 << 20    # of text in a block; a longer document is a block of its own
     range_rows: int = 2_000_000    # requests, or counts, that a range gets about
-    tile_cells: int = 1_000_000    # terms x sources that a tile holds
+    tile_cells: int = 200_000    # terms x sources that a tile holds
 
 
 def terms_of(chunk: bytes) -> list[bytes]:

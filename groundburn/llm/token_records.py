@@ -14,22 +14,20 @@ under another name first and renames it, so that a repeated task does no harm.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from groundburn.llm.base import in_arrow, new_path, staged, text_bytes
+from groundburn.llm.base import in_arrow, new_path, staged
+from groundburn.llm.word_ids import by_bytes, word_ids
 
 _HEAD, _SUM, _META = "<Q", "<I", "<qBB"  # layouts of length, checksum and payload head
 
@@ -39,7 +37,8 @@ class RecordRules:
     tokenizer: str            # file of the tokenizers library, at the same path on every machine
     end_id: int               # closes each document
     id_bytes: int = 2         # of a stored id; 2 while the vocabulary allows it
-    cached: int = 300_000     # words in each of two generations of a worker's cache
+    cached: int = 250_000     # words in each of two generations of a worker's cache
+    batch_bytes: int = 8 << 20  # of texts encoded at a time
     read_bytes: int = 8 << 20  # read of a file at a time
 
 
@@ -65,54 +64,6 @@ def unframed(read) -> Iterator[bytes]:
         yield body[:n]
 
 
-class _Encoder:
-    """Ids of texts, by the ids of their words.
-
-    The tokenizer's pieces never reach across white space, which it drops, so a
-    text's ids are its white-space-delimited words' ids in a row; words met
-    before are not encoded again. New words are encoded many in one string and
-    told apart by the tokens' offsets.
-    """
-
-    def __init__(self, rules: RecordRules):
-        self.rules = rules
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use every core
-        self.tokenizer = Tokenizer.from_file(rules.tokenizer)
-        if self.tokenizer.get_vocab_size() > 1 << (8 * rules.id_bytes):
-            raise ValueError("id_bytes is too small for the vocabulary")
-        self.type = f"<u{rules.id_bytes}"
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts]
-        if len(self.new) > self.rules.cached:
-            self.old, self.new = self.new, {}
-        unseen = set().union(*cut) - self.new.keys()
-        kept = unseen & self.old.keys()
-        self.new.update((w, self.old[w]) for w in kept)
-        asked = list(unseen - kept)
-        for k in range(0, len(asked), 20_000):
-            self._learn(asked[k:k + 20_000])
-        end = np.array([self.rules.end_id], dtype=self.type).tobytes()
-        return [b"".join(map(self.new.__getitem__, words)) + end for words in cut]
-
-    def _learn(self, words: list[bytes]) -> None:
-        groups = [words[k:k + 100] for k in range(0, len(words), 100)]
-        lines = [b" ".join(g).decode() for g in groups]
-        for group, line, e in zip(groups, lines, self.tokenizer.encode_batch(lines, add_special_tokens=False), strict=True):
-            ends = np.cumsum([len(w) + 1 for w in line.split(" ")])
-            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            at = [0, *(np.searchsorted(starts, ends) * self.rules.id_bytes).tolist()]
-            ids = np.array(e.ids, dtype=self.type).tobytes()
-            self.new.update(zip(group, (ids[i:j] for i, j in zip(at, at[1:])), strict=True))
-
-
-@lru_cache(maxsize=1)
-def _encoder(rules: RecordRules) -> _Encoder:
-    return _Encoder(rules)
-
-
 def written(docs: DataFrame, path: str, rules: RecordRules, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Writes the files; returns one row per file: file, n_docs, n_ids.
 
@@ -128,21 +79,27 @@ def written(docs: DataFrame, path: str, rules: RecordRules, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        own = _encoder(rules)
+        own = word_ids(rules.tokenizer, rules.id_bytes, rules.cached)
+        end = np.array([rules.end_id], dtype=own.type).tobytes()
         store, root = fs.FileSystem.from_uri(path)
         name = f"part-{TaskContext.get().partitionId():06d}"
         temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
         offsets, at, n_ids, out = [], 0, 0, None
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), own.encode(text_bytes(batch.column(1))), strict=True):
-                if out is None:
-                    store.create_dir(root, recursive=True)
-                    out = store.open_output_stream(temporary)
-                record = framed(struct.pack(_META, key or 0, key is None, rules.id_bytes) + ids)
-                out.write(record)
-                offsets.append(at)
-                at += len(record)
-                n_ids += len(ids) // rules.id_bytes
+            if out is None and batch.num_rows:
+                store.create_dir(root, recursive=True)
+                out = store.open_output_stream(temporary)
+            keys = iter(batch.column(0).to_pylist())
+            for texts in by_bytes(batch.column(1), rules.batch_bytes):
+                ids, ends = own.encode(texts)
+                data, begin = ids.tobytes(), 0
+                for to, key in zip((ends * rules.id_bytes).tolist(), keys):
+                    record = framed(b"".join((struct.pack(_META, key or 0, key is None, rules.id_bytes), data[begin:to], end)))
+                    out.write(record)
+                    offsets.append(at)
+                    at += len(record)
+                    begin = to
+                n_ids += len(ids) + len(texts)
         if out is None:
             return
         out.close()

@@ -23,8 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares; one of its own only where none is set."""
+    """The folder that the cluster shares. Only a local master makes one of its own;
+    a cluster without one is an error, as its machines would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("staged tables need a shared folder: set spark.checkpoint.dir")
     if folder is None:
         folder = tempfile.mkdtemp(prefix="llm-")
         spark.sparkContext.setCheckpointDir(folder)

@@ -173,3 +173,17 @@ def test_other_tokenizers(tmp_path, tokenizer):
         WordIds(str(tmp_path / "spaces.json"))
     with pytest.raises(ValueError):
         WordIds(WORD_BPE.tokenizer, width=1)
+
+
+def test_staged_tables_need_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from groundburn.llm.base import shared_folder
+
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, applicationId="app")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "k8s://x"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared_folder(session(master))

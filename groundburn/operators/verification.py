@@ -11,9 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from groundburn.functions.clock import hour
-from groundburn.functions.numeric import co2_tonnes, hours, rnd, tally
-from groundburn.functions.validity import both_valid, departure_valid, false_hour_24
+from groundburn.functions.numeric import co2_tonnes, rnd
+from groundburn.functions.validity import both_valid
 from groundburn.operators.measures import segments
 from groundburn.operators.serving import top_departure_airports
 from groundburn.params import LOW, Params
@@ -87,25 +86,46 @@ def published_figures(tables: Mapping[str, DataFrame], cleaning: DataFrame) -> D
     return yearly.unionByName(stats)
 
 
+#: The figures from the flights alone. Conditions and factors are written out
+#: here, so that a mistake in the shared definitions cannot agree with itself.
+_FIGURES = """
+SELECT filas, taxiout_nulo, taxiin_nulo, validos AS vuelos_validos, validos AS vuelos_en_resumen,
+  salida / 60 AS horas_salida, llegada / 60 AS horas_llegada, (salida + llegada) / 60 AS horas_total,
+  round((salida + llegada) * {low} * {factor} / 1000) AS co2_t_bajo,
+  round((salida + llegada) * {high} * {factor} / 1000) AS co2_t_alto,
+  hora24 AS grupo_hora_24_cast, round(media_salida * 100) / 100 AS taxiout_media, round(media_llegada * 100) / 100 AS taxiin_media
+FROM (
+  SELECT count(*) AS filas,
+    sum(if(TaxiOut IS NULL, 1, 0)) AS taxiout_nulo, sum(if(TaxiIn IS NULL, 1, 0)) AS taxiin_nulo,
+    sum(if(TaxiOut <= {cap} AND TaxiIn <= {cap}, 1, 0)) AS validos,
+    sum(CASE WHEN TaxiOut <= {cap} AND TaxiIn <= {cap} THEN TaxiOut END) AS salida,
+    sum(CASE WHEN TaxiOut <= {cap} AND TaxiIn <= {cap} THEN TaxiIn END) AS llegada,
+    sum(CASE WHEN TaxiOut > {cap} OR TaxiOut IS NULL THEN 0 WHEN CRSDepTime BETWEEN 2350 AND 2399 THEN 1
+             WHEN CRSDepTime IS NOT NULL THEN 0 END) AS hora24,
+    avg(TaxiOut) AS media_salida, avg(TaxiIn) AS media_llegada
+  FROM {flights}
+)
+"""
+
+#: Those of them that must agree to the last digit: measure, and its name above or a rounding of it.
+EXACT = ("filas", "taxiout_nulo", "taxiin_nulo", "vuelos_validos", "horas_total", "co2_t_bajo", "co2_t_alto", "grupo_hora_24_cast")
+
+
+def _spelled_out(flights: DataFrame, p: Params) -> DataFrame:
+    return flights.sparkSession.sql(
+        _FIGURES, flights=flights, cap=float(p.taxi_cap), low=float(p.fuel_low), high=float(p.fuel_high), factor=float(p.co2_factor))
+
+
 def recomputed_figures(flights: DataFrame, p: Params) -> DataFrame:
-    """The same figures straight from the flights, in one scan."""
-    out, arr, both = F.col("TaxiOut"), F.col("TaxiIn"), both_valid(p)
-    min_out, min_in = F.sum(F.when(both, out)), F.sum(F.when(both, arr))
-    return _long(flights.agg(
-        F.count(F.lit(1)).alias("filas"),
-        tally(out.isNull()).alias("taxiout_nulo"),
-        tally(arr.isNull()).alias("taxiin_nulo"),
-        tally(both).alias("vuelos_validos"),
-        tally(both).alias("vuelos_en_resumen"),
-        hours(min_out).alias("horas_salida"),
-        hours(min_in).alias("horas_llegada"),
-        hours(min_out + min_in).alias("horas_total"),
-        rnd(co2_tonnes(min_out + min_in, p.fuel_low, p)).alias("co2_t_bajo"),
-        rnd(co2_tonnes(min_out + min_in, p.fuel_high, p)).alias("co2_t_alto"),
-        tally(false_hour_24(p)).alias("grupo_hora_24_cast"),
-        rnd(F.avg(out), 2).alias("taxiout_media"),
-        rnd(F.avg(arr), 2).alias("taxiin_media"),
-    ), "esperado")
+    """The same figures straight from the flights, in one scan, by a statement
+    that shares no definition with the route under test."""
+    return _long(_spelled_out(flights, p), "esperado")
+
+
+def verify_exactly(flights: DataFrame, obtained: DataFrame, p: Params) -> DataFrame:
+    """Eight global figures, one row of :func:`global_check`, against the statement: no tolerance."""
+    expected = _spelled_out(flights, p).withColumn("horas_total", F.round("horas_total")).select(*EXACT)
+    return compare(_long(expected, "esperado"), _long(obtained.select(*EXACT), "obtenido"), tolerance=0.0)
 
 
 def pinned(spark: SparkSession, figures: Mapping[str, float]) -> DataFrame:
@@ -167,7 +187,7 @@ def verify_routes(departures: DataFrame, airport_month: DataFrame, flights: Data
     """Departure CO2 with a decodable hour: through fine groups, coarse groups and directly.
 
     The published monthly table holds all departures, so it is compared with
-    the direct sum of all of them.
+    the direct sum of all of them, which spells its conditions out.
     """
     def tonnes(minutes: Column) -> Column:
         return rnd(co2_tonnes(minutes, p.fuel_low, p), 1)
@@ -177,11 +197,16 @@ def verify_routes(departures: DataFrame, airport_month: DataFrame, flights: Data
     def through(keys: list[str]) -> DataFrame:
         return with_hour.groupBy(*keys).agg(F.sum("minutos").alias("m")).agg(tonnes(F.sum("m")).alias("obtenido"))
 
-    direct = flights.where(departure_valid(p)).agg(
-        tonnes(F.sum(F.when(hour(F.col("CRSDepTime")).isNotNull(), F.col("TaxiOut")))).alias("grupos_finos"),
-        tonnes(F.sum(F.when(hour(F.col("CRSDepTime")).isNotNull(), F.col("TaxiOut")))).alias("grupos_gruesos"),
-        tonnes(F.sum("TaxiOut")).alias("tabla_mensual"),
-    )
+    direct = flights.sparkSession.sql(
+        """
+        SELECT round(a.con_hora * 10) / 10 AS grupos_finos, round(a.con_hora * 10) / 10 AS grupos_gruesos, round(a.todas * 10) / 10 AS tabla_mensual
+        FROM (
+          SELECT sum(CASE WHEN CRSDepTime BETWEEN 0 AND 2359 OR CRSDepTime = 2400 THEN TaxiOut END) * {low} * {factor} / 1000 AS con_hora,
+            sum(TaxiOut) * {low} * {factor} / 1000 AS todas
+          FROM {flights} WHERE TaxiOut <= {cap}
+        ) a
+        """,
+        flights=flights, cap=float(p.taxi_cap), low=float(p.fuel_low), factor=float(p.co2_factor))
     obtained = (
         through(["aeropuerto", "anio", "mes", "hora"]).select(F.lit("grupos_finos").alias("medida"), "obtenido")
         .unionByName(through(["anio", "mes"]).select(F.lit("grupos_gruesos").alias("medida"), "obtenido"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from groundburn.functions.intermediate import materialise_all
 from groundburn.operators import contracts as K
 from groundburn.operators import coverage as C
 from groundburn.operators import delays as D
@@ -91,8 +92,26 @@ PUBLISHED: dict[str, Query] = {
 
 
 def published(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """All published tables as the batch computes them, from shared roll-ups."""
-    return emission_tables(star_flights(spark, sf), star_weather(spark, sf), P)
+    """All published tables as the batch computes and stores them, from shared roll-ups."""
+    tables = emission_tables(star_flights(spark, sf), star_weather(spark, sf), P)
+    return materialise_all({name: K.to_contract(name, table) for name, table in tables.items()})
+
+
+def _exchanged(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables in each other's place, so that the check meets every kind of fault."""
+    return K.contract_check(spark, {
+        "resumen_global": yearly(spark, sf),
+        "co2_aeropuerto_hora": benchmark(spark, sf),
+        "rodaje_clima": QUERIES["por_hora"](spark, sf),
+        "rodaje_clima_independiente": QUERIES["clima_independiente"](spark, sf),
+        "escenario_ahorro": QUERIES["escenario_ahorro_universo_a"](spark, sf),
+        "benchmark_salida": QUERIES["co2_por_hora"](spark, sf),
+    })
+
+
+def _exactly(spark: SparkSession, sf: str) -> DataFrame:
+    flights = star_flights(spark, sf)
+    return V.verify_exactly(flights, X.global_check(flights, P), P)
 
 
 def _chosen(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,7 +224,9 @@ QUERIES: dict[str, Query] = {
     "mapa_calor": _over_airport_hour(G.heat_map),
     # Published-table checks and verification
     "contract_check": lambda spark, sf: K.contract_check(spark, published(spark, sf)),
+    "contract_check_cambiadas": _exchanged,
     "conteo_publicado": lambda spark, sf: K.row_counts(published(spark, sf)),
+    "verificacion_exacta": _exactly,
     "verificacion_exactitud": _accuracy,
     "verificacion_top10":
         lambda spark, sf: V.verify_ranking(airport_month(spark, sf), V.ranking(star_flights(spark, sf), P)),

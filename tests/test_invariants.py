@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from groundburn.operators import verification
+from groundburn.functions import numeric, validity
+from groundburn.operators import exploration, verification
 from groundburn.operators.emissions import airport_hour, airport_month, departure_groups, departure_groups_total, yearly_summary
-from groundburn.operators.exploration import by_hour, cleaning_statistics
+from groundburn.operators.exploration import by_hour, cleaning_statistics, global_check
 from groundburn.operators.measures import departures, segments
 from groundburn.operators.taxi_quality import hour_24_groups, populations_by_year, reconciliation
 from groundburn.operators.weather_effect import by_main_condition, weather_coverage
@@ -138,3 +140,29 @@ def test_measured_figures(spark, scale):
     pops, hours = reconciliation(flights, P).first(), hour_24_groups(flights, P).first()
     assert (flights.count(), pops.vuelos_ambos_validos, pops.obs_salida_valida, pops.obs_llegada_valida,
             hours.grupo24_cast, hours.valor_2400) == MEASURED[scale]
+
+
+def test_exact_figures_do_not_share_the_rules_they_check(data, monkeypatch):
+    """Another cap, hour or rate in the shared definitions is noticed, without any tolerance."""
+    flights, _ = data
+    assert len(verification.verify_exactly(flights, global_check(flights, P), P).collect()) == 8
+    verification.require_all(verification.verify_exactly(flights, global_check(flights, P), P))
+    kept = validity.valid_minutes
+    monkeypatch.setattr(validity, "valid_minutes", lambda minutes, p: kept(minutes, replace(p, taxi_cap=p.taxi_cap + 40)))
+    failed = verification.verify_exactly(flights, global_check(flights, P), P).where("NOT cuadra").select("medida").collect()
+    assert "vuelos_validos" in {r.medida for r in failed}
+    monkeypatch.undo()
+    monkeypatch.setattr(numeric, "hours", lambda minutes: minutes / F.lit(60.5))
+    monkeypatch.setattr(exploration, "hours", numeric.hours)
+    failed = verification.verify_exactly(flights, global_check(flights, P), P).where("NOT cuadra").collect()
+    assert [r.medida for r in failed] == ["horas_total"]
+
+
+def test_recomputed_figures_notice_a_changed_cap(data, monkeypatch):
+    flights, _ = data
+    kept = validity.valid_minutes
+    monkeypatch.setattr(validity, "valid_minutes", lambda minutes, p: kept(minutes, replace(p, taxi_cap=p.taxi_cap + 40)))
+    tables = {"resumen_global": yearly_summary(departures(flights, P), P)}
+    checks = verification.compare(
+        verification.recomputed_figures(flights, P), verification.published_figures(tables, cleaning_statistics(flights, P)))
+    assert not checks.where("NOT cuadra AND medida = 'vuelos_validos'").isEmpty()

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from groundburn.llm.base import carried, ddl, in_arrow
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Word characters that are numbers but no digits, such as one half or a Roman numeral: no letters.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
+_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 @dataclass(frozen=True)
@@ -30,7 +34,7 @@ class LanguageRules:
     max_rows: int = 40_000      # labelled documents that the model is fitted on, about
     min_count: int = 3          # occurrences that make a word, or n-gram, known
     max_gram: int = 5           # longest n-gram; the shortest is one character
-    max_words: int = 200_000    # most frequent words and n-grams kept of each kind
+    counted_chars: int = 2_000_000  # of text that a task counts before it sends its counts on
     smoothing: float = 0.5
     discount: float = 0.4       # factor for each step back from a word
     max_score_nats: float = 30.0  # evidence beyond this does not change the score
@@ -42,26 +46,38 @@ def words_of(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
-def _counted(max_gram: int):
-    """Counts of (language, kind, word or n-gram) of each batch; kind 0 a word, n an n-gram."""
+def _counted(max_gram: int, counted_chars: int):
+    """Counts of (language, kind, word or n-gram) of some texts at a time; kind 0 a word, n an n-gram."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words: Counter[tuple[str, str]] = Counter()
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words.update((lang, w) for w in words_of(text))
-            grams: Counter[tuple[str, int, str]] = Counter()
-            for (lang, w), n in words.items():
-                grams[lang, 0, w] += n
-                for size in range(1, max_gram + 1):
+    def sent(lang: str, words: Counter[str]) -> Iterator[pa.RecordBatch]:
+        for size in range(max_gram + 1):
+            grams = words
+            if size:
+                grams = Counter()
+                for w, n in words.items():
                     for i in range(len(w) - size + 1):
-                        grams[lang, size, w[i:i + size]] += n
+                        grams[w[i:i + size]] += n
             if grams:
-                lang, kind, gram = zip(*grams, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang), pa.array(kind, pa.int32()), pa.array(gram), pa.array(grams.values(), pa.int64())],
+                    [pa.array([lang] * len(grams), pa.string()), pa.array([size] * len(grams), pa.int32()),
+                     pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())],
                     names=["lang", "kind", "gram", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter[str]] = {}
+        chars = 0
+        for batch in batches:
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                text = text.as_py()
+                held.setdefault(lang, Counter()).update(words_of(text))
+                chars += len(text)
+                if chars >= counted_chars:
+                    for item in held.items():
+                        yield from sent(*item)
+                    held, chars = {}, 0
+        for item in held.items():
+            yield from sent(*item)
+
     return run
 
 
@@ -77,38 +93,38 @@ class LanguageModel:
     rules: LanguageRules
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rules: LanguageRules = LanguageRules()) -> LanguageModel:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rules: LanguageRules = LanguageRules(), doc_id: str = "doc_id") -> LanguageModel:
     """Fits on labelled rows of ``docs``; null texts and null labels are left out.
 
-    At most about ``max_rows`` rows are used, chosen by a hash of the text so
-    that the same rows are chosen anywhere; languages are known from all rows.
-    Counting is spread over the cluster; what reaches the driver is bounded by
-    ``max_words`` and the n-grams' kinds.
+    At most about ``max_rows`` rows are used, chosen by a hash of id and text,
+    so that the same rows are chosen anywhere and copies are not chosen all or
+    none; languages are known from all rows. Every word and n-gram that those
+    rows have ``min_count`` times is kept, whatever its language. Counting is
+    spread over the cluster; what reaches the driver is bounded by the rows.
     """
-    labelled = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null")
+    by = [F.col(doc_id)] if doc_id in docs.columns else []
+    labelled = docs.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(*by, text).alias("h")).where("t is not null and l is not null")
     per_lang = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not per_lang:
         return LanguageModel([], {}, {}, np.zeros((0, 0)), np.zeros(0), rules)
     # The same number of rows of each language, as far as there are so many.
     share = max(1, rules.max_rows // len(per_lang))
     keep = F.lit(False)
-    spread = F.pmod(F.xxhash64("t"), F.lit(1_000_000))
+    spread = F.pmod(F.col("h"), F.lit(1_000_000))
     for name, n in per_lang.items():
         keep = keep | ((F.col("l") == name) & (spread < math.ceil(1_000_000 * min(1.0, share / n))))
+    names = sorted(per_lang)
     counts = (
-        in_arrow(labelled.where(keep), _counted(rules.max_gram), "lang string, kind int, gram string, n long")
-        .groupBy("kind", "gram").pivot("lang", sorted(per_lang)).agg(F.sum("n"))
+        in_arrow(labelled.where(keep).select("t", "l"), _counted(rules.max_gram, rules.counted_chars), "lang string, kind int, gram string, n long")
+        .groupBy("kind", "gram").pivot("lang", names).agg(F.sum("n"))
     )
-    names = sorted(per_lang)
     total = sum((F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names), F.lit(0))
     counts = counts.withColumn("_n", total).where(F.col("_n") >= rules.min_count)
-    words, grams, rows = {}, {}, []
-    for kinds, into in ((F.col("kind") == 0, words), (F.col("kind") > 0, grams)):
-        for r in counts.where(kinds).orderBy(F.desc("_n"), "kind", "gram").limit(rules.max_words).collect():
-            into[r["gram"]] = len(rows)
-            rows.append((r["kind"], *(r[n] or 0 for n in names)))
-    found = np.array(rows, dtype=np.float64).reshape(len(rows), 1 + len(names))
-    kind, seen = found[:, 0], found[:, 1:]
+    found = counts.select("kind", "gram", *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).alias(f"n{i}") for i, n in enumerate(names)]).toArrow()
+    kind = found["kind"].to_numpy()
+    gram = found["gram"].to_numpy().tolist()
+    words, grams = ({gram[i]: int(i) for i in np.flatnonzero(at)} for at in (kind == 0, kind > 0))
+    seen = np.column_stack([found[f"n{i}"].to_numpy() for i in range(len(names))]).astype(np.float64)
     logs = np.zeros_like(seen)
     unknown = np.zeros(len(names))
     for k in np.unique(kind):
@@ -169,7 +185,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text", keep:
     """Columns ``keep`` of ``docs`` (all by default) with lang_pred and score.
     Whole texts are scored; null and letterless texts are ``und``."""
     keep = carried(docs, keep, "_text lang_pred score")
-    model_of = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words
+    model_of = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the rows it was fitted on
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, np.ndarray] = {}

@@ -34,9 +34,9 @@ class BpeRules:
     ranks: str                     # file of base64 tokens and ranks, at the same path on every machine
     pattern: str                   # cuts a text into pieces that merge on their own
     long_piece: int = 128          # bytes; a longer piece would take as many rounds, it merges by a heap
-    cached: int = 450_000          # pieces, and runs of ids, in each of a cache's two generations
+    cached: int = 200_000          # pieces, and runs of ids, in each of a cache's two generations: about 30 MB each
     query_rows: int = 200_000      # rows that one query starts with, about
-    memory_mb: int = 300           # of one worker's DuckDB
+    memory_mb: int = 200           # of one worker's DuckDB
 
 
 _ENCODE = """
@@ -47,14 +47,16 @@ WITH RECURSIVE t(piece, pos, id, nid, done) AS (
         SELECT t.piece, t.pos, t.id, t.nid, (m.rank << 32) + t.pos AS key
         FROM t LEFT JOIN merges m ON m.pair = (t.id << 32 | t.nid)
         WHERE NOT t.done
+    ), b AS (
+        SELECT piece, min(key) AS best FROM r GROUP BY piece
     ), c AS (
-        SELECT *, min(key) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,  -- one sort for all four
-               lag(key) OVER w AS key_before, lead(key) OVER w AS key_after, lead(nid) OVER w AS nid_after
-        FROM r WINDOW w AS (PARTITION BY piece ORDER BY pos)
+        -- One sort for all pieces: a piece's last token has no key, so nothing reaches from one into the next.
+        SELECT r.*, best, lag(key) OVER w AS key_before, lead(key) OVER w AS key_after, lead(nid) OVER w AS nid_after
+        FROM r JOIN b USING (piece) WINDOW w AS (ORDER BY piece, pos)
     )
     SELECT piece, pos,
            CASE WHEN key = best THEN best >> 32 ELSE id END,
-           CASE WHEN key = best THEN nid_after WHEN key_after = best THEN best >> 32 ELSE nid END,
+           CASE WHEN key = best THEN nid_after WHEN key_after = best AND nid IS NOT NULL THEN best >> 32 ELSE nid END,
            best IS NULL
     FROM c WHERE best IS NULL OR key_before IS DISTINCT FROM best)
 )
@@ -62,7 +64,7 @@ SELECT piece, list(id ORDER BY pos) AS ids FROM t WHERE done GROUP BY piece ORDE
 """
 
 _DECODE = """
-SELECT s.run, string_agg(v.hex, '' ORDER BY s.pos) AS hex
+SELECT s.run, string_agg(v.bytes, '' ORDER BY s.pos) AS bytes
 FROM start s JOIN vocabulary v USING (id) GROUP BY s.run ORDER BY s.run
 """
 
@@ -95,14 +97,15 @@ class Codec:
         self.known, self.runs = _Cache(rules.cached), _Cache(rules.cached)
         size = max(self.ranks.values()) + 1
         self.decimal = [b"%d" % i for i in range(size)]
-        #: Ids at which a run may begin: those of tokens that begin with a space.
+        #: Ids at which a run begins: those of tokens that begin with ASCII white space or a mark, as pieces do.
         self.begins = np.zeros(size, dtype=bool)
-        self.begins[[i for t, i in self.ranks.items() if t[:1] == b" "]] = True
+        self.begins[[i for t, i in self.ranks.items() if t[0] < 128 and not t[:1].isalnum()]] = True
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": f"{rules.memory_mb}MB"})
         splits = [(self.ranks[t[:i]] << 32 | self.ranks[t[i:]], r) for t, r in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         merges = pa.table({"pair": pa.array([s[0] for s in splits], pa.int64()), "rank": pa.array([s[1] for s in splits], pa.int64())})
-        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int64()), "hex": [t.hex() for t in self.ranks]})
+        # A byte as the character of its number, so that SQL can put tokens together as text.
+        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int64()), "bytes": [t.decode("latin-1") for t in self.ranks]})
         self._sql("CREATE TABLE merges AS SELECT * FROM given", merges)
         self._sql("CREATE TABLE vocabulary AS SELECT * FROM given", vocabulary)
 
@@ -193,15 +196,19 @@ class Codec:
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
         """Bytes of each sequence of ids."""
-        cut: list[list[bytes]] = []
-        for ids in sequences:
-            at = np.flatnonzero(self.begins[ids]) * 4
-            data = np.ascontiguousarray(ids, dtype="<u4").tobytes()
-            edges = [0, *at[at > 0].tolist(), len(data)]
-            cut.append([data[a:b] for a, b in zip(edges, edges[1:])] if data else [])
-        unseen = self.runs.missing(set().union(*cut))
+        sizes = np.fromiter(map(len, sequences), np.int64, len(sequences))
+        if not sizes.sum():
+            return [b""] * len(sequences)
+        ids = np.concatenate(sequences).astype("<u4", copy=False)
+        starts = np.cumsum(sizes) - sizes
+        begins = np.append(self.begins[ids], True)
+        begins[starts] = True
+        edges = np.flatnonzero(begins)
+        # Runs as binary values over the ids' own bytes, numbered by Arrow.
+        cut = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(ids)]).dictionary_encode()
+        runs = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
         asked, rows = [], 0
-        for run in unseen:
+        for run in self.runs.missing(set(runs)):
             asked.append(run)
             rows += len(run) // 4
             if rows >= self.rules.query_rows:
@@ -209,15 +216,18 @@ class Codec:
                 asked, rows = [], 0
         if asked:
             self._decode(asked)
-        return [b"".join(map(self.runs.new.__getitem__, runs)) for runs in cut]
+        own = list(map(self.runs.new.__getitem__, runs))
+        parts = list(map(own.__getitem__, cut.indices.to_numpy().tolist()))
+        first = np.searchsorted(edges, np.append(starts, len(ids))).tolist()
+        return [b"".join(parts[i:j]) for i, j in zip(first, first[1:])]
 
     def _decode(self, runs: list[bytes]) -> None:
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         ids = np.frombuffer(b"".join(runs), dtype="<u4").astype(np.int64)
         found = self._asked(_DECODE, pa.table({
             "run": np.repeat(np.arange(len(runs)), sizes), "pos": np.arange(len(ids)), "id": ids}))
-        for run, hexed in zip(runs, found.column("hex").to_pylist(), strict=True):
-            self.runs.new[run] = bytes.fromhex(hexed)
+        texts = found.column("bytes").to_numpy().tolist()
+        self.runs.new.update(zip(runs, (t.encode("latin-1") for t in texts), strict=True))
 
 
 @lru_cache(maxsize=1)

@@ -44,7 +44,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     lineage cut, safe from lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import carried, ddl, in_arrow, staged, text_bytes
+from groundburn.llm.base import carried, ddl, in_arrow, staged
+from groundburn.llm.word_ids import by_bytes
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,10 @@ class ClassRules:
     pools: int = 256        # of all rarer words
     ranked: int = 10_000    # words of one token in so many, and more, begin in classes by rank
     prior: float = 20.0     # tokens' worth of the class unigram in a transition
-    count_chunk: int = 1_000_000  # distinct words that a task counts before it sends them on
-    pair_chunk: int = 3_000_000   # bigrams that a task counts at a time
+    block_bytes: int = 16 << 20   # of text in a block
+    read_bytes: int = 2 << 20     # of text that a task cuts at a time
+    count_chunk: int = 300_000    # distinct words that a task counts before it sends them on
+    pair_chunk: int = 1_000_000   # bigrams that a task counts at a time
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -52,7 +55,7 @@ def pool_of(word: bytes, pools: int) -> int:
     return zlib.crc32(word[-3:]) % pools
 
 
-def _packed(words: list[bytes], *numbers: list[int]) -> bytes:
+def _packed(words: list[bytes], *numbers) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(
         len(words).to_bytes(4, "little") + np.array(numbers, "<i8").tobytes() + b"\n".join(words))
 
@@ -64,36 +67,83 @@ def _unpacked(blob: bytes, columns: int = 1) -> tuple[list[bytes], *tuple[list[i
     return (data[4 + 8 * columns * n:].split(b"\n") if n else []), *numbers
 
 
+def _cut(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Every word of some texts, as :func:`words_of` has them, and where each text's begin and end."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    offsets = cut.offsets.to_numpy()
+    found = cut.flatten().dictionary_encode()
+    blank = pc.index(found.dictionary, pa.scalar("", pa.string())).as_py()
+    if blank < 0:
+        return found, offsets - offsets[0]
+    kept = found.indices.to_numpy() != blank  # what precedes white space at a text's beginning, or follows it at its end
+    ends = np.append(0, np.cumsum(kept))[offsets - offsets[0]]
+    return found.filter(pa.array(kept)), ends
+
+
+def _in_blocks(docs: DataFrame, rules: ClassRules) -> DataFrame:
+    """``docs`` with _block: consecutive rows of about so many bytes of text in the same partition."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        base, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            upto = size + np.cumsum(pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            block = base + np.append(size, upto)[:-1] // rules.block_bytes
+            size = int(upto[-1]) if len(upto) else size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=[*names, "_block"])
+
+    return in_arrow(docs, run, f"{ddl(docs, names)}_block long")
+
+
 def _requests(blocks: DataFrame, ranges: int, rules: ClassRules) -> DataFrame:
     """(range, block, words, tokens): each block's words with their counts in
     training documents, 0 where only others have them."""
     limit = rules.count_chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sent(block: int, train: Counter, other: set) -> pa.RecordBatch:
-            parts: list[tuple[list, list]] = [([], []) for _ in range(ranges)]
-            for w in sorted(train.keys() | other):
-                words, counts = parts[zlib.crc32(w) % ranges]
-                words.append(w)
-                counts.append(train.get(w, 0))
-            some = [k for k, p in enumerate(parts) if p[0]]
+        def added(parts: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(parts).group_by("w").aggregate([("n", "sum")]).rename_columns(["w", "n"])
+
+        def sent(block: int, table: pa.Table) -> pa.RecordBatch:
+            table = table.sort_by("w")
+            words = table.column("w").combine_chunks().cast(pa.binary()).to_numpy(zero_copy_only=False)
+            counts = table.column("n").to_numpy()
+            own = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % ranges
+            some = np.unique(own)
+            parts = [np.flatnonzero(own == k) for k in some]
             return pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int32()),
-                 pa.array([_packed(*parts[k]) for k in some], pa.binary()), pa.array([sum(parts[k][1]) for k in some], pa.int64())],
+                [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
+                 pa.array([_packed(words[p].tolist(), counts[p]) for p in parts], pa.binary()), pa.array([int(counts[p].sum()) for p in parts], pa.int64())],
                 names=["range", "block", "words", "tokens"])
 
-        at, train, other = None, Counter(), set()
+        at, held = None, []
         for batch in batches:
-            for block, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
-                if at is not None and (block != at or len(train) + len(other) > limit):
-                    yield sent(at, train, other)
-                    train, other = Counter(), set()
-                at = block
-                (other if held else train).update(words_of(text))
-        if at is not None:
-            yield sent(at, train, other)
-
-    return in_arrow(blocks.select("_block", "held_out", "_text"), run, "range int, block int, words binary, tokens long")
+            blocks_of = batch.column(0).to_numpy()
+            edges = np.append(np.flatnonzero(np.diff(blocks_of, prepend=-1)), len(blocks_of))
+            for a, b in zip(edges, edges[1:]):
+                if at is not None and blocks_of[a] != at:
+                    yield sent(at, added(held))
+                    held = []
+                at = int(blocks_of[a])
+                out = batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False)
+                done = 0
+                for texts in by_bytes(batch.column(2).slice(a, b - a), rules.read_bytes):
+                    found, ends = _cut(texts)
+                    counted = np.repeat(~out[done:done + len(texts)], np.diff(ends))
+                    done += len(texts)
+                    n = np.bincount(found.indices.to_numpy()[counted], minlength=len(found.dictionary))
+                    held.append(pa.table({"w": found.dictionary, "n": pa.array(n, pa.int64())}))
+                    if sum(map(len, held)) > limit:
+                        held = [added(held)]
+                        if len(held[0]) > limit:
+                            yield sent(at, held[0])
+                            held = []
+        if held:
+            yield sent(at, added(held))
+
+    return in_arrow(blocks.select("_block", "held_out", "_text"), run, "range int, block long, words binary, tokens long")
 
 
 def _answers(requests: DataFrame, ranges: int, hot: int, rules: ClassRules) -> DataFrame:
@@ -129,13 +179,13 @@ def _answers(requests: DataFrame, ranges: int, hot: int, rules: ClassRules) -> D
             if out:
                 yield _blobs(out)
 
-    return in_arrow(requests.select("range", "block", "words").repartition(ranges, "range"), run, "block int, range int, n long, words binary")
+    return in_arrow(requests.select("range", "block", "words").repartition(ranges, "range"), run, "block long, range int, n long, words binary")
 
 
 def _blobs(out: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     block, k, n, words = zip(*out, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(block, pa.int32()), pa.array(k, pa.int32()), pa.array(n, pa.int64()), pa.array(words, pa.binary())],
+        [pa.array(block, pa.int64()), pa.array(k, pa.int32()), pa.array(n, pa.int64()), pa.array(words, pa.binary())],
         names=["block", "range", "n", "words"])
 
 
@@ -143,28 +193,37 @@ def _numbered(first: dict[int, int], keep: list[str], whole: float, rules: Class
     """Texts as packed numbers, with what is known of their tokens without
     classes. ``first``: number of the first word of each range. Pools come
     before the words, from 1 on."""
-    pools = rules.pools
+    pools, read_bytes = rules.pools, rules.read_bytes
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        index: dict[bytes, int] = {}
-        counts, numbers = [], []
+        values, counts, numbers = [], [], []
         for k, blob in zip(answers.column("range").to_pylist(), answers.column("words").to_pylist(), strict=True):
             words, n, local = _unpacked(blob, 2)
-            index.update(zip(words, range(len(counts), len(counts) + len(words))))
-            counts += n
-            numbers += [first[k] + i if i >= 0 else 1 + pool_of(w, pools) for w, i in zip(words, local, strict=True)]
-        c, number = np.array(counts, np.int64), np.array(numbers, "<i4")
+            values.append(pa.array(words, pa.binary()).cast(pa.string()))
+            counts.append(np.array(n, np.int64))
+            local = np.array(local, np.int64)
+            number = local + first[k]
+            for i in np.flatnonzero(local < 0).tolist():
+                number[i] = 1 + pool_of(words[i], pools)
+            numbers.append(number.astype("<i4"))
+        known = pa.concat_arrays(values) if values else pa.array([], pa.string())
+        c, number = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (counts, numbers))
         logs = np.log10(c + 0.5)
         pack = zstandard.ZstdCompressor(level=1).compress
-        out: list[tuple] = []
-        for text in text_bytes(docs.column("_text").combine_chunks()):
-            at = np.fromiter(map(index.__getitem__, words_of(text)), np.int64)
-            own = float(logs[at].sum())
-            out.append((len(at), int((c[at] > 0).sum()), own - len(at) * whole, own, pack(number[at].tobytes())))
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        return pa.table({**{k: docs.column(k) for k in keep},
-                         "_n": pa.array(columns[0], pa.int64()), "_known": pa.array(columns[1], pa.int64()),
-                         "_base": pa.array(columns[2], pa.float64()), "_own": pa.array(columns[3], pa.float64()), "_ids": pa.array(columns[4], pa.binary())})
+        sizes, seen, own, ids = [], [], [], []
+        for chunk in docs.column("_text").chunks:
+            for texts in by_bytes(chunk, read_bytes):
+                found, ends = _cut(texts)
+                place = pc.index_in(found.dictionary, value_set=known).to_numpy(zero_copy_only=False)[found.indices.to_numpy()]
+                some = np.append(0, np.cumsum(c[place] > 0))
+                sizes.append(np.diff(ends))
+                own += [float(logs[place[a:b]].sum()) for a, b in zip(ends, ends[1:])]
+                seen.append(np.diff(some[ends]))
+                ids += [pack(number[place[a:b]].astype("<i4").tobytes()) for a, b in zip(ends, ends[1:])]
+        n, seen = (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (sizes, seen))
+        own = np.array(own, np.float64)
+        return pa.table({**{k: docs.column(k) for k in keep}, "_n": n, "_known": seen, "_base": own - n * whole, "_own": own,
+                         "_ids": pa.array(ids, pa.binary())})
 
     return run
 
@@ -217,6 +276,7 @@ def _class_counts(bigrams: DataFrame, of: np.ndarray, classes: int) -> np.ndarra
     out = np.zeros(classes * classes, np.int64)
     for row in in_arrow(bigrams, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # classes squared
         out[row["cell"]] = row["n"]
+    shared.destroy()
     return out.reshape(classes, classes)
 
 
@@ -329,6 +389,7 @@ def _moved(bigrams: DataFrame, of: np.ndarray, counts: np.ndarray, turn: int, pa
     out = of.copy()
     for row in in_arrow(sent, move, "w binary, c binary").toLocalIterator():  # six bytes a word
         out[np.frombuffer(row["w"], "<i4")] = np.frombuffer(row["c"], "<i2")
+    shared.destroy()
     return out
 
 
@@ -383,8 +444,7 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
     keep = carried(docs, keep, "_text _block _n _known _base _own _ids held_out n_tokens n_known train_tokens base_score score")
     spark = docs.sparkSession
     ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = staged(docs.select(
-        *keep, held_out.alias("held_out"), F.col(text).alias("_text"), F.spark_partition_id().alias("_block")), "blocks")
+    blocks = staged(_in_blocks(docs.select(*keep, held_out.alias("held_out"), F.col(text).cast("string").alias("_text")), rules), "blocks")
     requests = staged(_requests(blocks, ranges, rules), "requests")
     ends = blocks.where("not held_out").count()
     words = requests.agg(F.sum("tokens")).first()[0] or 0

@@ -92,8 +92,8 @@ def over_flight_table(spark: SparkSession, folder: str, copies: int) -> dict[str
         "emission_tables": lambda: all_of(emission_tables(flights, weather, p)),
         "audit_tables": lambda: all_of(audit_tables(flights, weather, p)),
         "limpieza": lambda: run(exploration.cleaning_statistics(flights, p)),
-        "duplicados_resumen": lambda: run(coverage.duplicate_summary(flights, coverage.repeated_keys(flights))),
-        "conciliacion_universos": lambda: run(taxi_quality.reconciliation(flights, p)),
+        "duplicados_resumen": lambda: run(coverage.duplicates(flights)),
+        "conciliacion_universos": lambda: run(taxi_quality.reconciliation(taxi_quality.taxi_state(flights, p), p)),
         "rodaje_excesivo": lambda: run(exploration.excessive_taxi(departures(flights, p), p)),
         "etiqueta_excesivo": lambda: run(exploration.excessive_label(flights, departures(flights, p), p)),
     }

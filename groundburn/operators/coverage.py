@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundburn.functions.calendar import flight_date
@@ -14,21 +14,33 @@ from groundburn.functions.numeric import share, tally
 from groundburn.params import Params
 from groundburn.schema import CRITICAL, DELAY_COLUMNS, FLIGHT_KEY
 
-_CHUNK = 32
+#: Columns counted at a time. Beyond 100 Spark reads Parquet row by row.
+_CHUNK = 56
+#: Relative error of a sketch of distinct keys, and the share of repeated rows up to which keys count as unique.
+SKETCH_ERROR, MOST_REPEATS = 0.02, 0.1
 
 # SQL names of the column types.
 _SQL_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
               "date": "DATE", "boolean": "BOOLEAN"}
 
 
+def date_counts(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
+    """Per month and date: rows, and about how many distinct keys. A key holds
+    its date, so the numbers of keys add up over the dates."""
+    return flights.groupBy(F.col("Year").alias("anio"), F.col("Month").alias("mes"), "FlightDate").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*key), SKETCH_ERROR).alias("claves"))
+
+
 def month_coverage(flights: DataFrame) -> DataFrame:
-    """Per month: rows, distinct dates, rows dated outside their partition.
+    """Per month: rows, distinct dates, rows dated outside their partition."""
+    return month_coverage_from(flights.groupBy(
+        F.col("Year").alias("anio"), F.col("Month").alias("mes"), "FlightDate").agg(F.count(F.lit(1)).alias("n")))
 
-    Dates are grouped first, so counting distinct ones needs no set per month.
-    """
+
+def month_coverage_from(dates: DataFrame) -> DataFrame:
+    """:func:`month_coverage` from rows per month and date, so that counting
+    distinct dates needs no set per month."""
     day = flight_date()
-    dates = flights.groupBy(F.col("Year").alias("anio"), F.col("Month").alias("mes"), "FlightDate").agg(
-        F.count(F.lit(1)).alias("n"))
     elsewhere = (F.col("anio") != F.year(day)) | (F.col("mes") != F.month(day))
     return dates.groupBy("anio", "mes").agg(
         F.sum("n").alias("filas"),
@@ -144,33 +156,70 @@ def null_share(flights: DataFrame, columns: Sequence[str] = DELAY_COLUMNS) -> Da
         "columna", nulls.alias("nulos"), share(nulls, F.col("filas")).alias("pct_nulos"))
 
 
-def repeated_keys(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
+def mostly_unique(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> bool:
+    """Whether nearly every row has a key of its own, by one scan that merges
+    sketches of the keys' hashes. Runs a job."""
+    found = flights.agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*_alike(flights, key)), SKETCH_ERROR).alias("claves")).first()
+    return few_repeats(found["n"], found["claves"])
+
+
+def few_repeats(rows: int, keys: int) -> bool:
+    return keys >= (1 - MOST_REPEATS) * rows
+
+
+def _alike(flights: DataFrame, key: Sequence[str]) -> list[Column]:
+    """Equal keys must hash alike: grouping takes -0.0 and 0.0 for the same number."""
+    kinds = dict(flights.select(*key).dtypes)
+    return [F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c) for c in key]
+
+
+def key_counts(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
+    """Rows of each key; copies collapse before the one shuffle."""
+    return flights.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def repeated_keys(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, unique: bool | None = None) -> DataFrame:
     """Keys held by more than one row, and how many hold them; NULLs are equal.
 
-    Nearly all keys are unique, so whole keys are not shuffled: rows are first
-    counted under a 64-bit hash, and only those sharing a hash are grouped by
-    the key itself, which also settles accidental collisions.
+    Where nearly all keys are unique, whole keys are not shuffled: rows are
+    first counted under a 64-bit hash, and only those sharing a hash are grouped
+    by the key itself, which also settles accidental collisions. Where many
+    repeat, that would shuffle most rows twice, and they are grouped at once.
+    ``unique`` tells which; it is measured if not given (:func:`mostly_unique`).
     """
-    kinds = dict(flights.select(*key).dtypes)
-    # Equal keys must hash alike: grouping takes -0.0 and 0.0 for the same number.
-    alike = [F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c) for c in key]
-    hashed = flights.select(*key, F.xxhash64(*alike).alias("_h"))
+    if not (mostly_unique(flights, key) if unique is None else unique):
+        return key_counts(flights, key).where(F.col("n") > 1)
+    hashed = flights.select(*key, F.xxhash64(*_alike(flights, key)).alias("_h"))
     shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
-    return (
-        join_sized(hashed, shared, ["_h"], "left_semi").groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    )
+    return key_counts(join_sized(hashed, shared, ["_h"], "left_semi"), key).where(F.col("n") > 1)
 
 
-def duplicate_summary(flights: DataFrame, repeated: DataFrame) -> DataFrame:
+def duplicates(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
     """Groups under a key, and those holding more than one row.
 
-    Takes :func:`repeated_keys`: every row outside it is a group of its own.
+    One scan and one shuffle where many rows share their key, else from
+    :func:`repeated_keys`; measured by :func:`mostly_unique`.
     """
-    rows = flights.agg(F.count(F.lit(1))).scalar()
+    if mostly_unique(flights, key):
+        return duplicate_summary(flights.agg(F.count(F.lit(1)).alias("n")), repeated_keys(flights, key, True))
+    n, several = F.col("n"), F.col("n") > 1
+    return key_counts(flights, key).agg(
+        F.count(F.lit(1)).alias("grupos"),
+        F.sum(n).alias("filas_cubiertas"),
+        tally(several).alias("grupos_duplicados"),
+        tally(several, n).alias("filas_en_grupos_duplicados"),
+        F.max(n).alias("max_repeticiones"),
+    )
+
+
+def duplicate_summary(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """:func:`duplicates` from the number of rows, added up over column ``n``,
+    and :func:`repeated_keys`: every row outside those is a group of its own."""
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     totals = repeated.agg(
         F.count(F.lit(1)).alias("grupos"), F.coalesce(F.sum("n"), F.lit(0)).alias("filas"), F.max("n").alias("mayor"),
-    ).withColumn("total", rows)
+    ).withColumn("total", total)
     some = F.col("total") > 0
     return totals.select(
         (F.col("total") - F.col("filas") + F.col("grupos")).alias("grupos"),

@@ -59,16 +59,24 @@ def airport_month(spark: SparkSession, sf: str) -> DataFrame:
     return E.airport_month(segments(star_flights(spark, sf), P), P)
 
 
-def _duplicates(flights: DataFrame, key) -> DataFrame:
-    return C.duplicate_summary(flights, C.repeated_keys(flights, key))
-
-
 def _duplicate_examples(flights: DataFrame, key) -> DataFrame:
     return C.duplicate_examples(C.repeated_keys(flights, key), key)
 
 
 def _taxi_quality(flights: DataFrame, variable: str) -> DataFrame:
-    return T.taxi_time_quality(T.taxi_histogram(flights), variable, P)
+    return T.taxi_time_quality(T.taxi_histogram(T.taxi_state(flights, P)), variable, P)
+
+
+def _over_state(fn) -> Query:
+    return lambda spark, sf: fn(T.taxi_state(star_flights(spark, sf), P), P)
+
+
+def _over_times(fn) -> Query:
+    return lambda spark, sf: fn(T.time_counts(star_flights(spark, sf)))
+
+
+def _over_diversions(fn) -> Query:
+    return lambda spark, sf: fn(T.diversion_counts(star_flights(spark, sf), P), P)
 
 
 coverage = _over_flights(C.month_coverage)
@@ -148,19 +156,19 @@ QUERIES: dict[str, Query] = {
     "meta_ejecucion": lambda spark, sf: C.run_summary(coverage(spark, sf), P),
     "esquema": _over_flights(C.schema_profile),
     "nulos_campos_criticos": _over_flights(C.null_profile),
-    "duplicados_resumen": _over_flights(_duplicates, FLIGHT_KEY),
+    "duplicados_resumen": _over_flights(C.duplicates, FLIGHT_KEY),
     "duplicados_ejemplos": _over_flights(_duplicate_examples, FLIGHT_KEY),
-    "duplicados_resumen_ruta_dia": _over_flights(_duplicates, ROUTE_DAY),
+    "duplicados_resumen_ruta_dia": _over_flights(C.duplicates, ROUTE_DAY),
     "duplicados_ejemplos_ruta_dia": _over_flights(_duplicate_examples, ROUTE_DAY),
     "calidad_taxiout_por_anio": _over_flights(_taxi_quality, "TaxiOut"),
     "calidad_taxiin_por_anio": _over_flights(_taxi_quality, "TaxiIn"),
-    "universos_por_anio": _over_flights(T.populations_by_year, P),
-    "crsdeptime_clases": _over_flights(T.scheduled_time_classes),
-    "crsdeptime_grupos24": _over_flights(T.hour_24_groups, P),
-    "crsdeptime_invalidos": _over_flights(T.invalid_times),
-    "desviados_resumen": _over_flights(T.diversion_summary, P),
-    "desviados_pares": _over_flights(T.diversion_pairs, P),
-    "desviados_alcanza_destino": _over_flights(T.diversion_outcome, P),
+    "universos_por_anio": _over_state(T.populations_by_year),
+    "crsdeptime_clases": _over_times(T.scheduled_time_classes),
+    "crsdeptime_grupos24": _over_state(T.hour_24_groups),
+    "crsdeptime_invalidos": _over_times(T.invalid_times),
+    "desviados_resumen": _over_state(T.diversion_summary),
+    "desviados_pares": _over_diversions(T.diversion_pairs),
+    "desviados_alcanza_destino": _over_diversions(T.diversion_outcome),
     "clima_calidad": lambda spark, sf: W.weather_quality(star_weather(spark, sf)),
     "clima_calidad_informes": lambda spark, sf: W.weather_quality(star_weather_reports(spark, sf)),
     "clima_cobertura": _over_weather(W.weather_coverage),
@@ -169,7 +177,7 @@ QUERIES: dict[str, Query] = {
         lambda spark, sf: W.weather_multiplication(star_weather_reports(spark, sf)),
     "clima_sin_duplicados":
         lambda spark, sf: first_per_day(star_weather_reports(spark, sf), ["informe"]),
-    "conciliacion_universos": _over_flights(T.reconciliation, P),
+    "conciliacion_universos": _over_state(T.reconciliation),
     # Exploration of taxi times
     "verificacion_global": _over_flights(X.global_check, P),
     "hora_mal": _over_flights(X.wrong_hour_summary, P),

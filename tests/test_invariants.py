@@ -13,7 +13,7 @@ from groundburn.operators import exploration, verification
 from groundburn.operators.emissions import airport_hour, airport_month, departure_groups, departure_groups_total, yearly_summary
 from groundburn.operators.exploration import by_hour, cleaning_statistics, global_check
 from groundburn.operators.measures import departures, segments
-from groundburn.operators.taxi_quality import hour_24_groups, populations_by_year, reconciliation
+from groundburn.operators.taxi_quality import hour_24_groups, populations_by_year, reconciliation, taxi_state
 from groundburn.operators.weather_effect import by_main_condition, weather_coverage
 from groundburn.sources.star import STAR_PARAMS as P
 from groundburn.sources.star import star_flights, star_weather
@@ -35,10 +35,10 @@ def data(request, spark):
 
 def test_validity_classes_partition_the_rows(data):
     flights, _ = data
-    row = populations_by_year(flights, P).agg(
+    row = populations_by_year(taxi_state(flights, P), P).agg(
         F.sum(F.col("ambos_validos") + F.col("solo_salida_valida") + F.col("solo_llegada_valida")
               + F.col("ninguno_valido")).alias("all"), F.sum("ambos_validos").alias("a")).first()
-    pops = reconciliation(flights, P).first()
+    pops = reconciliation(taxi_state(flights, P), P).first()
     assert row["all"] == flights.count()
     assert row.a == pops.vuelos_ambos_validos <= min(pops.obs_salida_valida, pops.obs_llegada_valida)
     assert pops.tramos_salida_mas_llegada == segments(flights, P).count()
@@ -65,7 +65,7 @@ def test_hour_tables_add_up(data):
 def test_hour_24_exists_only_under_the_wrong_decoding(data):
     flights, _ = data
     assert by_hour(departures(flights, P), P).where((F.col("hora") < 0) | (F.col("hora") > 23)).count() == 0
-    row = hour_24_groups(flights, P).first()
+    row = hour_24_groups(taxi_state(flights, P), P).first()
     assert (row.grupo24_codigo_actual, row.grupo24_hhmm_estricto) == (0, 0) and row.grupo24_cast > 0
 
 
@@ -137,7 +137,7 @@ def test_measured_figures(spark, scale):
     if not folder.exists():
         pytest.skip("test tables not present")
     flights = star_flights(spark, str(folder))
-    pops, hours = reconciliation(flights, P).first(), hour_24_groups(flights, P).first()
+    pops, hours = reconciliation(taxi_state(flights, P), P).first(), hour_24_groups(taxi_state(flights, P), P).first()
     assert (flights.count(), pops.vuelos_ambos_validos, pops.obs_salida_valida, pops.obs_llegada_valida,
             hours.grupo24_cast, hours.valor_2400) == MEASURED[scale]
 

@@ -11,6 +11,8 @@ import groundburn.registry as registry
 import groundburn.sources.star as star
 from groundburn.operators import coverage, delays, emissions, taxi_quality, weather_effect
 from groundburn.operators.measures import arrivals, departures, segments
+from groundburn.plans.audit import audit
+from groundburn.schema import FLIGHT, FLIGHT_KEY, WEATHER
 from groundburn.sources.flights import read_flights
 from groundburn.sources.star import STAR_PARAMS as P
 from groundburn.sources.star import star_flights, star_weather
@@ -82,13 +84,13 @@ def test_filters_and_columns_reach_the_files(lake):
 
 def test_aggregates_combine_before_the_shuffle(lake):
     for df in (emissions.departure_groups(departures(lake, P)), emissions.airport_month(segments(lake, P), P),
-               taxi_quality.taxi_histogram(lake)):
+               taxi_quality.taxi_state(lake, P)):
         before = planned(df).rsplit("Exchange hashpartitioning", 1)[1]
         assert "partial_" in before
 
 
 def test_rows_are_narrowed_to_shared_hashes_before_keys_are_grouped(lake):
-    plan = planned(coverage.repeated_keys(lake))
+    plan = planned(coverage.repeated_keys(lake, unique=True))
     assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")
 
 
@@ -96,14 +98,15 @@ def test_hash_collisions_are_settled(spark, monkeypatch):
     """With one hash for everything the answer must not change."""
     rows = spark.createDataFrame([flight(Origin=o) for o in ("A", "A", "B", None, None, "C", "C", "C")], FLIGHT_DDL)
     monkeypatch.setattr(coverage.F, "xxhash64", lambda *_: F.lit(1).cast("long"))
-    repeated = coverage.repeated_keys(rows)
+    repeated = coverage.repeated_keys(rows, unique=True)
     assert {r.Origin: r.n for r in repeated.collect()} == {"A": 2, None: 2, "C": 3}
-    assert tuple(coverage.duplicate_summary(rows, repeated).first()) == (4, 8, 3, 7, 3)
+    assert tuple(coverage.duplicate_summary(rows.agg(F.count("*").alias("n")), repeated).first()) == (4, 8, 3, 7, 3)
 
 
 def test_equal_numbers_are_one_key(spark):
     rows = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (float("nan"),), (float("nan"),)], "x double")
-    assert sorted(r.n for r in coverage.repeated_keys(rows, ["x"]).collect()) == [2, 2]
+    for unique in (True, False, None):
+        assert sorted(r.n for r in coverage.repeated_keys(rows, ["x"], unique).collect()) == [2, 2]
 
 
 def test_a_key_with_a_third_of_the_rows(spark):
@@ -111,7 +114,55 @@ def test_a_key_with_a_third_of_the_rows(spark):
     hot = [flight(Origin="HOT", TaxiOut=20.0)] * 500
     rest = [flight(Origin=f"A{i % 50}", Flight_Number_Reporting_Airline=i, TaxiOut=float(5 + i % 30)) for i in range(1000)]
     rows = spark.createDataFrame(hot + rest, FLIGHT_DDL).repartition(7)
-    repeated = coverage.repeated_keys(rows)
-    assert tuple(coverage.duplicate_summary(rows, repeated).first()) == (1001, 1500, 1, 500, 500)
+    total = rows.agg(F.count("*").alias("n"))
+    for unique in (True, False):
+        assert tuple(coverage.duplicate_summary(total, coverage.repeated_keys(rows, unique=unique)).first()) == (1001, 1500, 1, 500, 500)
+    assert tuple(coverage.duplicates(rows).first()) == (1001, 1500, 1, 500, 500)
     by_airport = {r.aeropuerto: r.vuelos for r in emissions.airport_hour(departures(rows, P), P).collect()}
     assert by_airport["HOT"] == 500 and sum(by_airport.values()) == 1500
+
+
+def _shuffles(plan: str) -> int:
+    return len(re.findall(r"Exchange hashpartitioning", plan))
+
+
+def test_many_duplicates_take_one_scan_and_one_shuffle(spark, tmp_path):
+    """A route and day that most rows share: grouped at once. Keys nearly all unique: hashes first."""
+    rows = [flight(Origin=f"A{i % 9}", FlightDate=f"2023-01-{1 + i % 20:02d}", Flight_Number_Reporting_Airline=i) for i in range(2000)]
+    spark.createDataFrame(rows, FLIGHT_DDL).write.partitionBy("Year", "Month").parquet(f"{tmp_path}/vuelos")
+    flights = read_flights(spark, f"{tmp_path}/vuelos")
+    assert not coverage.mostly_unique(flights, registry.ROUTE_DAY) and coverage.mostly_unique(flights)
+    for found in (coverage.duplicates(flights, registry.ROUTE_DAY), coverage.repeated_keys(flights, registry.ROUTE_DAY)):
+        plan = planned(found)
+        assert (len(re.findall("FileScan parquet", plan)), _shuffles(plan), "LeftSemi" in plan) == (1, 1, False)
+        assert "partial_count" in plan
+    assert "LeftSemi" in planned(coverage.repeated_keys(flights))
+    for key in (registry.ROUTE_DAY, FLIGHT_KEY):
+        total = flights.agg(F.count("*").alias("n"))
+        both = [tuple(coverage.duplicate_summary(total, coverage.repeated_keys(flights, key, unique)).first()) for unique in (True, False)]
+        assert both == [tuple(coverage.duplicates(flights, key).first())] * 2
+
+
+def test_the_audit_reads_the_flights_at_most_eight_times(spark, tmp_path):
+    n = 20_000
+    rows = spark.range(n).selectExpr(
+        "2023L AS Year", "1 + id % 3 AS Month", "concat('2023-0', 1 + id % 3, '-1', id % 9) AS FlightDate", "id AS Flight_Number_Reporting_Airline",
+        "concat('A', id % 40) AS Origin", "concat('A', id % 37) AS Dest", "id % 2400 AS CRSDepTime", "double(id % 50) AS TaxiOut", "double(id % 20) AS TaxiIn",
+        "double(int(id % 50 = 0)) AS Diverted", "'A1' AS Div1Airport", "'WN' AS Reporting_Airline")
+    for field in FLIGHT.fields:
+        if field.name not in rows.columns:
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+    rows.write.partitionBy("Year", "Month").parquet(f"{tmp_path}/vuelos")
+    flights = read_flights(spark, f"{tmp_path}/vuelos")
+    weather = spark.createDataFrame([("A1", "2023-01-11", 1.0, 0.0, 3.0, 4.0)], WEATHER)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark._jvm.java.util.ArrayList()
+
+    def stages():
+        found = store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)
+        return {found.apply(i).stageId(): found.apply(i).inputRecords() for i in range(found.size())}
+
+    before = stages()
+    audit(flights, weather, P, f"{tmp_path}/audit")
+    read = [records for stage, records in stages().items() if stage not in before]
+    assert 1 <= sum(read) / n < 9, "rows read by the whole audit, in flights"

@@ -34,7 +34,7 @@ class BpeRules:
     ranks: str                     # file of base64 tokens and ranks, at the same path on every machine
     pattern: str                   # cuts a text into pieces that merge on their own
     long_piece: int = 128          # bytes; a longer piece would take as many rounds, it merges by a heap
-    cached: int = 200_000          # pieces, and runs of ids, in each of a cache's two generations: about 30 MB each
+    cached: int = 300_000          # pieces, and runs of ids, in each of a cache's two generations: about 45 MB each
     query_rows: int = 200_000      # rows that one query starts with, about
     memory_mb: int = 200           # of one worker's DuckDB
 

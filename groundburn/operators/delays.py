@@ -25,13 +25,13 @@ def late_distribution(flights: DataFrame) -> DataFrame:
 
 def delay_statistics(flights: DataFrame) -> DataFrame:
     """Centre, spread and extremes of delays and distance, in one scan."""
-    return Q.histogram(flights, [], ["ArrDelay", "DepDelay", "Distance"]).groupBy(Q.VARIABLE).agg(
+    found = Q.summarised(Q.histogram(flights, [], ["ArrDelay", "DepDelay", "Distance"]), [Q.VARIABLE], [
         rnd(Q.average(), 1).alias("media"),
-        rnd(Q.quantile(0.5), 1).alias("mediana"),
         rnd(Q.deviation(), 1).alias("desv_estandar"),
         F.min(Q.VALUE).alias("minimo"),
         F.max(Q.VALUE).alias("maximo"),
-    )
+    ], {"mediana": 0.5})
+    return found.select(Q.VARIABLE, "media", rnd(F.col("mediana"), 1).alias("mediana"), "desv_estandar", "minimo", "maximo")
 
 
 def late_share(flights: DataFrame, *keys: Column) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundburn.functions import quantiles as Q
 from groundburn.functions.calendar import day_name
 from groundburn.functions.clock import hour, plain_hour, rounded_hour
+from groundburn.functions.intermediate import materialise
 from groundburn.functions.joins import join_sized
 from groundburn.functions.numeric import co2_tonnes, hours, mean, rnd, share, tally
 from groundburn.functions.validity import both_valid, departure_valid, false_hour_24, flagged
@@ -50,6 +51,11 @@ def cleaning_from(pairs: DataFrame) -> DataFrame:
     counted = both_columns.groupBy(Q.VARIABLE, Q.VALUE).agg(
         F.sum("filas").alias(Q.WEIGHT), *[F.sum(F.when(once, F.col(name))).alias(name) for name in _COUNTERS])
     out, arr = F.col(Q.VARIABLE) == "TaxiOut", F.col(Q.VARIABLE) == "TaxiIn"
+    counted = materialise(counted)
+    medians = Q.summarised(counted, [Q.VARIABLE], [], {"mediana": 0.5}, stored=True)
+
+    def median(only):
+        return medians.agg(F.max(F.when(only, F.col("mediana")))).scalar()
 
     def average(only):
         value, rows = F.when(only, F.col(Q.VALUE)), F.col(Q.WEIGHT)
@@ -64,9 +70,9 @@ def cleaning_from(pairs: DataFrame) -> DataFrame:
         F.max(F.when(out, F.col(Q.VALUE))).alias("taxiout_max"),
         F.max(F.when(arr, F.col(Q.VALUE))).alias("taxiin_max"),
         average(out).alias("taxiout_media"),
-        Q.quantile(0.5, out).alias("taxiout_mediana"),
+        median(out).alias("taxiout_mediana"),
         average(arr).alias("taxiin_media"),
-        Q.quantile(0.5, arr).alias("taxiin_mediana"),
+        median(arr).alias("taxiin_mediana"),
         total("cancelados"), total("desviados"), total("crs_2400"),
         total("desviados_dentro_de_validos"), total("grupo_hora_24_cast"),
     )
@@ -125,16 +131,13 @@ def global_quality(flights: DataFrame, p: Params) -> DataFrame:
 
 def tendency(flights: DataFrame) -> DataFrame:
     """Centre, spread and tail of both taxi columns, cap not applied."""
-    return Q.histogram(flights, [], ["TaxiOut", "TaxiIn"]).groupBy(Q.VARIABLE).agg(
+    return Q.summarised(Q.histogram(flights, [], ["TaxiOut", "TaxiIn"]), [Q.VARIABLE], [
         Q.present().alias("n"),
         rnd(Q.average(), 2).alias("media"),
-        Q.quantile(0.5).alias("mediana"),
         rnd(Q.deviation(), 2).alias("desviacion"),
-        Q.quantile(0.9).alias("p90"),
-        Q.quantile(0.95).alias("p95"),
-        Q.quantile(0.99).alias("p99"),
         F.max(Q.VALUE).alias("maximo"),
-    )
+    ], {"mediana": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}).select(
+        Q.VARIABLE, "n", "media", "mediana", "desviacion", "p90", "p95", "p99", "maximo")
 
 
 def departure_histogram(flights: DataFrame, last_minute: int = 60) -> DataFrame:
@@ -213,22 +216,22 @@ def excessive_taxi(departures: DataFrame, p: Params) -> DataFrame:
     (at most one row per minute up to the cap), so flights are scanned once
     and never joined to themselves.
     """
-    own_limit = F.percentile("minutos", F.lit(p.excess_quantile), F.col("n")).over(Window.partitionBy("aeropuerto"))
-    compared = (
-        _airport_histogram(departures.where(F.col("aeropuerto").isNotNull()))
-        .withColumn("limite", own_limit)
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("vuelos_salida"),
-            tally(F.col("minutos") > F.col("limite"), F.col("n")).alias("rodaje_excesivo"),
-        )
+    counted = materialise(_airport_histogram(departures.where(F.col("aeropuerto").isNotNull())))
+    limits = excessive_limits_of(counted, p, stored=True).withColumnRenamed("p90", "limite")
+    compared = join_sized(counted, limits, ["aeropuerto"]).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("vuelos_salida"),
+        tally(F.col("minutos") > F.col("limite"), F.col("n")).alias("rodaje_excesivo"),
     )
     return compared.withColumn("porcentaje", share(F.col("rodaje_excesivo"), F.col("vuelos_salida")))
 
 
 def excessive_limits(departures: DataFrame, p: Params) -> DataFrame:
     """Per airport, the taxi-out above which a departure is excessive."""
-    return _airport_histogram(departures).groupBy("aeropuerto").agg(
-        F.percentile("minutos", F.lit(p.excess_quantile), F.col("n")).alias("p90"))
+    return excessive_limits_of(_airport_histogram(departures), p)
+
+
+def excessive_limits_of(counted: DataFrame, p: Params, stored: bool = False) -> DataFrame:
+    return Q.summarised(counted, ["aeropuerto"], [], {"p90": p.excess_quantile}, "minutos", "n", stored)
 
 
 def excessive_label(flights: DataFrame, departures: DataFrame, p: Params) -> DataFrame:

@@ -50,26 +50,25 @@ def taxi_time_quality(histogram: DataFrame, variable: str, p: Params) -> DataFra
     """
     value, rows = F.col(Q.VALUE), F.col(Q.WEIGHT)
     above = F.sum(F.when(value > p.taxi_cap, value * rows).otherwise(0.0))
-    return (
-        histogram.where(F.col(Q.VARIABLE) == variable)
-        .groupBy(F.col("Year").alias("anio")).agg(
-            F.sum(rows).alias("filas"),
-            tally(value.isNull(), rows).alias("nulos"),
-            tally(value.isNotNull() & (value < 0), rows).alias("negativos"),
-            tally(value == 0, rows).alias("cero"),
-            tally((value > 0) & (value < p.taxi_cap), rows).alias("entre_0_y_tope"),
-            tally(value == p.taxi_cap, rows).alias("igual_tope"),
-            tally(value > p.taxi_cap, rows).alias("sobre_tope"),
-            rnd(F.min(value), 2).alias("minimo"),
-            rnd(F.max(value), 2).alias("maximo"),
-            rnd(Q.average(), 4).alias("media"),
-            Q.quantile(0.5).alias("mediana"),
-            Q.quantile(0.9).alias("p90"),
-            Q.quantile(0.99).alias("p99"),
-            rnd(above, 1).alias("minutos_sobre_tope"),
-            rnd(co2_tonnes(above, p.fuel_low, p), 1).alias("co2_t_bajo_si_se_incluyeran_sobre_tope"),
-        ).orderBy(F.asc_nulls_last("anio"))
-    )
+    own = histogram.where(F.col(Q.VARIABLE) == variable).withColumnRenamed("Year", "anio")
+    found = Q.summarised(own, ["anio"], [
+        F.sum(rows).alias("filas"),
+        tally(value.isNull(), rows).alias("nulos"),
+        tally(value.isNotNull() & (value < 0), rows).alias("negativos"),
+        tally(value == 0, rows).alias("cero"),
+        tally((value > 0) & (value < p.taxi_cap), rows).alias("entre_0_y_tope"),
+        tally(value == p.taxi_cap, rows).alias("igual_tope"),
+        tally(value > p.taxi_cap, rows).alias("sobre_tope"),
+        rnd(F.min(value), 2).alias("minimo"),
+        rnd(F.max(value), 2).alias("maximo"),
+        rnd(Q.average(), 4).alias("media"),
+        rnd(above, 1).alias("minutos_sobre_tope"),
+        rnd(co2_tonnes(above, p.fuel_low, p), 1).alias("co2_t_bajo_si_se_incluyeran_sobre_tope"),
+    ], {"mediana": 0.5, "p90": 0.9, "p99": 0.99})
+    return found.select(
+        "anio", "filas", "nulos", "negativos", "cero", "entre_0_y_tope", "igual_tope", "sobre_tope", "minimo", "maximo",
+        "media", "mediana", "p90", "p99", "minutos_sobre_tope", "co2_t_bajo_si_se_incluyeran_sobre_tope",
+    ).orderBy(F.asc_nulls_last("anio"))
 
 
 def populations_by_year(state: DataFrame, p: Params) -> DataFrame:

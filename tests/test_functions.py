@@ -138,3 +138,55 @@ def test_params_know_their_scenarios():
     assert (Params().rate("bajo"), Params().rate("alto")) == (6.0, 12.0)
     with pytest.raises(ValueError):
         Params().rate("medio")
+
+
+def _numpy_quantiles(rows, shares):
+    """Of (key, value, weight), by spelling every repetition out."""
+    out = {}
+    for key in {r[0] for r in rows}:
+        values = np.repeat([r[1] for r in rows if r[0] == key and r[1] is not None], [r[2] for r in rows if r[0] == key and r[1] is not None])
+        out[key] = tuple(float(np.quantile(values, q)) if len(values) else None for q in shares)
+    return out
+
+
+SHARES = {"least": 0.0, "median": 0.5, "p90": 0.9, "p99": 0.99, "most": 1.0}
+
+
+@pytest.mark.parametrize("ranked", [False, True])
+def test_quantiles_by_ranks_and_by_one_task(spark, monkeypatch, ranked):
+    rng = np.random.default_rng(5)
+    rows = [(k, float(v), int(w)) for k, n in (("a", 3000), ("b", 700), (None, 41)) for v, w in zip(rng.normal(size=n), rng.integers(1, 9, n))]
+    rows += [("one", 2.5, 1), ("same", 1.25, 1000), ("pair", 1.0, 1), ("pair", 4.0, 3), ("none", None, 7), ("a", None, 9), ("hot", 0.5, 10**7), ("hot", 0.75, 2)]
+    counted = spark.createDataFrame(rows, "k string, v double, w long")
+    if ranked:
+        monkeypatch.setattr(Q, "MOST_VALUES", 10)
+    found = Q.summarised(counted, ["k"], [F.sum("w").alias("n")], SHARES, "v", "w")
+    got = {r.k: tuple(r[name] for name in SHARES) for r in found.collect()}
+    assert {r.k: r.n for r in found.collect()} == {k: sum(r[2] for r in rows if r[0] == k) for k in {r[0] for r in rows}}
+    for key, want in _numpy_quantiles([r for r in rows if r[0] != "hot"], SHARES.values()).items():
+        assert got[key] == pytest.approx(want) if want[0] is not None else got[key] == want, key
+    assert got["hot"] == pytest.approx((0.5, 0.5, 0.5, 0.5, 0.75))
+    everything = [(0, v, w) for k, v, w in rows if k not in ("hot", "none")]
+    whole = Q.summarised(counted.where("k IS NULL OR k NOT IN ('hot', 'none')"), [], [F.sum("w").alias("n")], SHARES, "v", "w").first()
+    assert tuple(whole[name] for name in SHARES) == pytest.approx(_numpy_quantiles(everything, SHARES.values())[0])
+
+
+def test_no_task_gets_many_of_the_values(spark, monkeypatch):
+    """A group of very many fractional values is dealt to ranges; only a few of them are looked into."""
+    n = 300_000
+    monkeypatch.setattr(Q, "MOST_VALUES", 10_000)
+    stored = []
+    kept = Q.materialise
+    monkeypatch.setattr(Q, "materialise", lambda df: (stored.append(kept(df)), stored[-1])[1])
+    counted = spark.range(n).selectExpr("1 AS k", "sin(id) * 1000 AS v", "1L AS w")
+    row = Q.summarised(counted, ["k"], [], SHARES, "v", "w").first()
+    values = np.sort([r.v for r in stored[0].select("v").collect()])
+    assert [row[name] for name in SHARES] == pytest.approx([np.quantile(values, q) for q in SHARES.values()])
+    sizes = [r["count"] for r in stored[-1].groupBy("_part").count().collect()]
+    assert len(sizes) > 200 and max(sizes) * 2 * len(SHARES) < n / 20 and max(sizes) < n / 50
+
+
+def test_quantiles_of_no_rows(spark):
+    none = spark.createDataFrame([], "k string, v double, w long")
+    assert Q.summarised(none, ["k"], [], SHARES, "v", "w").isEmpty()
+    assert tuple(Q.summarised(none, [], [F.sum("w").alias("n")], {"m": 0.5}, "v", "w").first()) == (None, None)

@@ -17,6 +17,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -49,17 +50,31 @@ class LabellerRules:
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is not text of the page.
-HIDDEN = "script|style|noscript|template|iframe|svg|textarea|title|object|math|canvas"
+#: Elements whose content is no markup: it ends at their own end tag and nowhere else. None is text of the page.
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
+#: Elements with markup inside that is not text of the page.
+HIDDEN = frozenset("noscript template svg object math canvas".split())
+#: Elements that end an svg or math they stand in, as they cannot be part of one.
+_BREAKS_OUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr
+ol p pre ruby s small span strong strike sub sup table tt u ul var article aside section nav header footer main form figure""".split())
+#: Open elements at a time; further ones stand beside the last, as in browsers.
+_DEEPEST = 512
+#: Outermost and innermost open elements, so many of each, that make a leaf's path.
+_PATH_ENDS = 32
 #: An open element of the first kind ends where one of the second kind begins.
 _CLOSES = {"p": frozenset("p div ul ol li table h1 h2 h3 h4 h5 h6 section article aside nav header footer form main blockquote pre hr dl figure".split()),
            "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
            "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]), "head": frozenset(["body"])}
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<hidden>{HIDDEN})\b[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_OPEN = re.compile(r"<(?=[a-zA-Z/!?])")  # any other < is text
+_SIMPLE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)[\t\n\f\r ]*>")
+_NAME = re.compile(r"[^\t\n\f\r />]+")
+_BETWEEN = re.compile(r"[\t\n\f\r /]*")
+_ATTRIBUTE = re.compile(r"[^\t\n\f\r />][^\t\n\f\r />=]*")  # may begin with =
+_EQUALS = re.compile(r"[\t\n\f\r ]*=[\t\n\f\r ]*")
+_UNQUOTED = re.compile(r"[^\t\n\f\r >]*")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\t\n\f\r />])", re.I) for tag in RAW}
+_COMMENT_END = re.compile(r"--!?>")
 _PARTS = re.compile(r"[^a-z]+")
 
 
@@ -70,22 +85,132 @@ class Leaf:
     linked: int  # characters inside links
 
 
-def _names(rest: str) -> list[str]:
+def _names(value: str) -> list[str]:
     out: list[str] = []
-    for m in _NAMES.finditer(rest):
-        for name in (m[1] or m[2] or m[3] or "").lower().split():
-            out.append(name)
-            out += [p for p in _PARTS.split(name) if p and p != name]
+    for name in value.lower().split():
+        out.append(name)
+        out += [p for p in _PARTS.split(name) if p and p != name]
     return out
 
 
+@dataclass
+class _Tag:
+    """What stands between two runs of text: a tag, or (``name`` empty) something that is skipped."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    slash: bool = False  # ends with />
+    names: tuple[str, ...] = ()  # classes, ids and roles
+
+
+def _attributes(page: str, at: int) -> tuple[int, bool, list[str]] | None:
+    """End of a tag from behind its name, whether it ends with a slash, and the
+    values of class, id and role; None if the page ends inside it."""
+    values: list[str] = []
+    while True:
+        space = _BETWEEN.match(page, at)
+        at = space.end()
+        if at >= len(page):
+            return None
+        if page[at] == ">":
+            return at + 1, page[at - 1] == "/", values
+        name = _ATTRIBUTE.match(page, at)
+        at = name.end()
+        equals = _EQUALS.match(page, at)
+        if not equals:
+            continue
+        at = equals.end()
+        quote = page[at:at + 1]
+        if quote in ("'", '"'):
+            to = page.find(quote, at + 1)
+            if to < 0:
+                return None
+            value, at = page[at + 1:to], to + 1
+        else:
+            m = _UNQUOTED.match(page, at)
+            value, at = m[0], m.end()
+        if name[0].lower() in ("class", "id", "role"):
+            values.append(value)
+
+
+def _tags(page: str) -> Iterator[_Tag]:
+    """Tags, comments and raw text of a page in one pass, by the states of the
+    HTML standard. A page that ends inside a tag or comment ends where it begins."""
+    at, end = 0, len(page)
+    while begin := _OPEN.search(page, at):
+        at, tag = begin.start(), None
+        simple = _SIMPLE.match(page, at)
+        if simple:
+            tag = _Tag(at, simple.end(), simple[2].lower(), bool(simple[1]))
+        else:
+            closing = page.startswith("/", at + 1)
+            first = page[at + 1 + closing:at + 2 + closing]
+            if first.isascii() and first.isalpha():
+                name = _NAME.match(page, at + 1 + closing)
+                rest = _attributes(page, name.end())
+                if rest is None:
+                    yield _Tag(at, end)
+                    return
+                names = tuple(n for value in rest[2] for n in _names(value))
+                tag = _Tag(at, rest[0], name[0].lower(), closing, rest[1], names)
+            elif page.startswith("!--", at + 1):
+                if page.startswith((">", "->"), at + 4):  # an empty comment
+                    to = page.index(">", at + 4) + 1
+                else:
+                    m = _COMMENT_END.search(page, at + 4)
+                    to = m.end() if m else end
+                tag = _Tag(at, to)
+            elif first in ("!", "?") or (closing and first):  # a doctype or a comment of another kind; </> is nothing
+                to = page.find(">", at + 2)
+                tag = _Tag(at, to + 1 if to >= 0 else end)
+        if tag is None:  # < as text
+            at += 1
+            continue
+        yield tag
+        at = tag.end
+        if tag.name in RAW and not tag.closing:
+            m = _RAW_END[tag.name].search(page, at)
+            yield _Tag(at, m.start() if m else end)
+            at = m.start() if m else end
+
+
+class _Hidden:
+    """An open element whose content is left out, and the elements inside it."""
+
+    def __init__(self, name: str):
+        self.name, self.inside, self.count = name, [name], Counter([name])
+
+    def takes(self, tag: _Tag, outer: Counter) -> bool:
+        """Whether the tag belongs to it; if not, it has ended before the tag."""
+        foreign = self.name in ("svg", "math")
+        if not tag.closing:
+            if foreign and tag.name in _BREAKS_OUT and "foreignobject" not in self.count:
+                return False
+            if tag.name not in VOID and not (foreign and tag.slash):
+                self.inside.append(tag.name)
+                self.count[tag.name] += 1
+        elif self.count[tag.name]:
+            while (name := self.inside.pop()) != tag.name:
+                self.count[name] -= 1
+            self.count[name] -= 1
+        elif outer[tag.name]:
+            return False
+        return True
+
+
 def leaves(page: str) -> list[Leaf]:
     """Leaf blocks in page order: character references decoded, white space
-    turned into single spaces, empty ones left out."""
+    turned into single spaces, empty ones left out. Time grows with the page's
+    length alone, however broken it is."""
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    open_tags: Counter = Counter()
+    hidden: _Hidden | None = None
     pieces: list[str] = []
     linked = in_link = 0
+    known_path: tuple[str, ...] | None = ()
 
     def flush() -> None:
         nonlocal linked
@@ -94,39 +219,68 @@ def leaves(page: str) -> list[Leaf]:
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             pieces.clear()
             if text:
-                out.append(Leaf(text, tuple(t for _, tokens in stack for t in tokens), min(linked, len(text))))
+                out.append(Leaf(text, path(), min(linked, len(text))))
         linked = 0
 
+    def path() -> tuple[str, ...]:
+        nonlocal known_path
+        if known_path is None:
+            ends = stack if len(stack) <= 2 * _PATH_ENDS else stack[:_PATH_ENDS] + stack[-_PATH_ENDS:]
+            known_path = tuple(t for _, tokens in ends for t in tokens)
+        return known_path
+
+    def close() -> str:
+        nonlocal known_path
+        known_path = None
+        name = stack.pop()[0]
+        open_tags[name] -= 1
+        return name
+
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            pieces.append(page[at:m.start()])
+    for tag in _tags(page):
+        if tag.start > at and hidden is None:
+            pieces.append(page[at:tag.start])
             if in_link:
-                linked += m.start() - at
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
+                linked += tag.start - at
+        at = tag.end
+        name = tag.name
+        if not name:
+            continue
+        if hidden is not None:
+            if hidden.takes(tag, open_tags):
+                if not hidden.inside:
+                    hidden = None
+                continue
+            hidden = None
+        if name in RAW:
+            continue
+        if name in HIDDEN:
+            if not tag.closing and not (tag.slash and name in ("svg", "math")):
+                hidden = _Hidden(name)
             continue
-        if tag in INLINE:
-            if tag == "a":
-                in_link = 0 if m["end"] else 1
-            elif tag == "br":
+        if name in INLINE:
+            if name == "a":
+                in_link = 0 if tag.closing else 1
+            elif name == "br":
                 pieces.append(" ")
             continue
         flush()
         in_link = 0
-        if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if tag.closing:
+            if open_tags[name]:
+                while close() != name:
+                    pass
         else:
-            while stack and tag in _CLOSES.get(stack[-1][0], ()):
-                stack.pop()
-            if tag not in VOID and not m["rest"].endswith("/"):
-                names = _names(m["rest"]) if "=" in m["rest"] else []
-                stack.append((tag, (tag, *("." + n for n in names))))
-    pieces.append(page[at:])
+            while stack and name in _CLOSES.get(stack[-1][0], ()):
+                close()
+            if name not in VOID:
+                if len(stack) >= _DEEPEST:
+                    close()
+                stack.append((name, (name, *("." + n for n in tag.names))))
+                open_tags[name] += 1
+                known_path = None
+    if hidden is None:
+        pieces.append(page[at:])
     flush()
     return out
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -409,3 +410,49 @@ def test_pipeline_stages_on_edges(spark, sf, docs, none):
             out = stage(spark, rows, sf)
             assert name == "tokens" or out.columns == rows.columns
             out.collect()
+
+
+def texts(page):
+    return [x.text for x in html_blocks.leaves(page)]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p title=it's>hello</p><p>don't lose me</p>", ["hello", "don't lose me"]),
+    ('<p title=a"b>x</p><p>y "z"</p>', ["x", 'y "z"']),
+    ('<p>a<svg width="1"/>b</p><p>c</p>', ["ab", "c"]),
+    ("<p>a<svg><g><title>t</title></g></svg>b</p>", ["ab"]),
+    ("<div><svg><path d='M0 0'><p>out</p></div>", ["out"]),
+    ("<div>x<object><div>in</div></object>y</div>", ["xy"]),
+    ("<div><canvas>lost</div><p>kept</p>", ["kept"]),
+    ("<!-->x<p>y", ["x", "y"]), ("<!--->x", ["x"]), ("<!-- a -- b --!>x", ["x"]), ("x<!-- never closed <p>y", ["x"]),
+    ("a < b, c <3 <p>x</p><", ["a < b, c <3", "x", "<"]),
+    ("<p>x<a href='never closed>y</p>", ["x"]), ("<p>x</p", ["x"]),
+    ("<script>if (a<b) '</p>'</script ><p>x", ["x"]), ("<style>p{}</style\n>x", ["x"]), ("<textarea><p>no</textarea>yes", ["yes"]),
+    ("<p class=a/b id=>x</p><P\nCLASS='Q'>y", ["x", "y"]), ("a</>b</ c>d<?php x>e<!doctype html>f", ["abdef"]),
+    ("<p a=1 =b= c>x</p>", ["x"]), ("<div/>in<p>x", ["in", "x"]), ("<noscript><p>no</p></noscript>x", ["x"]),
+])
+def test_broken_markup_by_the_standard(page, want):
+    assert texts(page) == want
+
+
+def test_names_of_any_quoting():
+    path = html_blocks.leaves("<div class='Side-bar' id=\"x\"><p CLASS = foo role=main>t</p></div>")[0].path
+    assert path == ("div", ".side-bar", ".side", ".bar", ".x", "p", ".foo", ".main")
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", "<", "</x ", '<a b="', "<p title='", "<!--", "<svg><g>", "<div>x", "<title>", "&amp", "<a =", "<b><p>", "<object>", "<li x=y"])
+def test_time_grows_with_the_page_alone(part):
+    def seconds(size):
+        page = part * (size // len(part))
+        start = time.process_time()
+        html_blocks.leaves(page)
+        return time.process_time() - start
+
+    assert seconds(5_000_000) < 20 * max(seconds(500_000), 0.05)
+
+
+def test_deep_and_crossed_elements():
+    found = html_blocks.leaves("<div>x" * 3000 + "</div>" * 2000 + "<p>end")
+    assert [x.text for x in found] == ["x"] * 3000 + ["end"] and max(len(x.path) for x in found) == 64
+    assert texts("<div>" * 100_000 + "</p>" * 100_000 + "y") == ["y"]

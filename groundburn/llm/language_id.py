@@ -27,6 +27,7 @@ from groundburn.llm.base import carried, ddl, in_arrow
 #: Word characters that are numbers but no digits, such as one half or a Roman numeral: no letters.
 _NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
 _LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+_RUNS = re.compile(r"[^\W\d_]+")  # with those numerals, many times as fast
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ class LanguageRules:
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower())
+    runs = _RUNS.findall(text.lower())
+    return runs if all(map(str.isalpha, runs)) else [w for r in runs for w in _LETTERS.findall(r)]
 
 
 def _counted(max_gram: int, counted_chars: int):

@@ -1,10 +1,13 @@
 """Conversations as training windows within a token budget.
 
 Turns are cut into windows by prefix sums of their tokens: a window takes the
-turns whose prefix sums fall into one stretch of half the budget; a longer turn
-has a window of its own. Each window repeats the conversation's system turn and
-the last turns of the window before it. Only the new assistant turns are under
-the loss mask, so every assistant text is learned once.
+turns whose prefix sums fall into one stretch of half of what the budget leaves
+beside the conversation's system turn and the history; a longer turn has a
+window of its own. Each window repeats the system turn and the last turns of
+the window before it, as many as still fit. So a whole window keeps to the
+budget unless the system turn and its one new turn are too much by themselves.
+Only the new assistant turns are under the loss mask, so every assistant text
+is learned once.
 
 A turn is written ``<|role|>text<|end|>`` and a newline; ``&``, ``<``, ``[``
 and newlines in roles are escaped, so no text can look like a mark.
@@ -27,7 +30,7 @@ _ROLE_ESCAPES = (*_ESCAPES, ("|", "&#124;"), ("\n", "&#10;"))
 
 @dataclass(frozen=True)
 class ChatRules:
-    budget: int = 1024       # tokens of a window's new turns; one longer turn is never cut
+    budget: int = 1024       # tokens of a whole window; a turn is never cut
     history_turns: int = 2   # turns repeated from the window before
     history_tokens: int = 256  # a longer turn is not repeated, nor those before it
 
@@ -65,23 +68,29 @@ def formatted(turns: DataFrame, rules: ChatRules = ChatRules()) -> DataFrame:
         c("conv_id"), c("turn"), F.coalesce(c("role"), F.lit("")).alias("role"), F.coalesce(c("text"), F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy(c("turn").asc_nulls_first(), "role", "text")
     upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    half = rules.budget // 2
     rows = rows.withColumn("tokens", n_tokens(c("text"))).withColumn("nth", F.row_number().over(order))
+    head = F.min(F.when(c("role") == "system", F.struct("nth", "tokens"))).over(Window.partitionBy("conv_id"))
+    rows = rows.withColumn("room", F.lit(rules.budget) - F.coalesce(head["tokens"], F.lit(0)))  # beside the system turn
+    half = F.greatest(F.floor((c("room") - rules.history_tokens) / 2), F.lit(1))
     rows = rows.withColumn("large", c("tokens") > half)
     rows = rows.withColumn("run", F.coalesce(F.sum(c("large").cast("int")).over(upto), F.lit(0)) * 2 + c("large").cast("int"))
-    rows = rows.withColumn("bin", F.floor(F.coalesce(F.sum(F.when(~c("large"), c("tokens"))).over(upto), F.lit(0)) / F.greatest(F.lit(half), F.lit(1))))
+    rows = rows.withColumn("bin", F.floor(F.coalesce(F.sum(F.when(~c("large"), c("tokens"))).over(upto), F.lit(0)) / half))
     before = F.lag(F.struct("run", "bin")).over(order)
     rows = rows.withColumn("cut", (before.isNull() | (before != F.struct("run", "bin"))).cast("int"))
     rows = rows.withColumn("window", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     within = Window.partitionBy("conv_id", "window").orderBy(c("nth").desc())
     rows = rows.withColumn("from_end", F.row_number().over(within))
     rows = rows.withColumn("tokens_to_end", F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = staged(rows.select("conv_id", "nth", "role", "text", "window", "from_end", "tokens_to_end"), "turns")
+    rows = rows.withColumn("total", F.sum("tokens").over(Window.partitionBy("conv_id", "window")))
+    # A turn from_end places before the next window's first one sees that window's new tokens so many rows on.
+    after = F.get(F.array(*[F.lead("total", k).over(order) for k in range(1, rules.history_turns + 1)], F.lit(0).cast("long")), c("from_end") - 1)
+    rows = rows.withColumn("may_repeat", F.least(F.lit(rules.history_tokens), c("room") - after))
+    rows = staged(rows.select("conv_id", "nth", "role", "text", "window", "from_end", "tokens_to_end", "may_repeat"), "turns")
 
     last = rows.groupBy("conv_id").agg(F.max("window").alias("last"), F.min(F.when(c("role") == "system", c("nth"))).alias("system"))
     met = rows.alias("r").join(last.alias("l"), c("r.conv_id").eqNullSafe(c("l.conv_id"))).select("r.*", "l.last", "l.system")
     is_system = c("nth") == F.coalesce(c("system"), F.lit(0))
-    repeats = (c("window") < c("last")) & ~is_system & (c("from_end") <= rules.history_turns) & (c("tokens_to_end") <= rules.history_tokens)
+    repeats = (c("window") < c("last")) & ~is_system & (c("from_end") <= rules.history_turns) & (c("tokens_to_end") <= c("may_repeat"))
     copies = F.concat(
         F.array(F.struct(c("window").alias("to"), F.lit(False).alias("again"))),
         F.when(is_system & (c("window") < c("last")), F.transform(F.sequence(c("window") + 1, c("last")), lambda w: F.struct(w.alias("to"), F.lit(True).alias("again"))))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
+import re
 import struct
 import time
 import zlib
@@ -280,6 +282,22 @@ def test_sharding(spark, docs, none):
     assert sharding.sharded(sharding.document_sizes(none), ["doc_id"], "size", 24).isEmpty()
 
 
+def test_columns_named_as_the_operators_own(spark, docs):
+    """Shards, near duplicates: columns of those names keep their values or give way, and none comes twice."""
+    odd = docs.select("*", F.lit("k").alias("_key"), F.lit(7).alias("row"), F.lit(8).alias("key"), F.lit(9).alias("shard"),
+                      F.lit(1).alias("_row"), F.lit(2).alias("_crc"), F.lit(3).alias("slot"), F.lit(4).alias("id"), F.lit(5).alias("x.y"))
+    kept = near_dup.without_copies(odd)
+    assert kept.columns == odd.columns
+    assert {tuple(r)[5:] for r in kept.collect()} == {tuple(r)[5:] for r in odd.collect()}
+    sizes = odd.withColumn("size", F.lit(3))
+    placed = sharding.sharded(sizes, ["doc_id"], "size", 3)
+    assert placed.columns == [c for c in sizes.columns if c not in ("shard", "slot")] + ["shard", "slot"]
+    assert {(r["_row"], r["row"], r["key"]) for r in placed.collect()} == {(1, 7, 8)} and {r["shard"] for r in placed.collect()} == {0, 1, 2}
+    written = spark.read.parquet(sharding.write_shards(odd.where("doc_id is not null").drop("x.y"), None, 3))
+    assert sorted(written.columns) == sorted([*(c for c in odd.columns if c not in ("shard", "x.y")), "shard"])
+    assert {r["_crc"] for r in written.collect()} == {2}
+
+
 def test_shards_are_written(spark, docs):
     path = sharding.write_shards(docs.where("doc_id is not null"), None, 3)
     assert spark.read.parquet(path).count() == len(ROWS) - 1
@@ -292,6 +310,33 @@ TURNS = [
 ]
 
 
+def keeps_to_budget(windows, rules):
+    """Whole windows: only a system turn and one new turn that are too much by themselves may exceed it."""
+    count = 0
+    for r in windows.collect():
+        cells = [x for x in r["text"].split("<|end|>\n") if x]
+        sizes = [len(re.findall(r"\w+|[^\w\s]", html.unescape(x.split("|>", 1)[1]))) + 3 for x in cells]
+        system = sizes[0] if cells[0].startswith("<|system|>") and r["n_repeated"] else 0
+        new = sizes[r["n_repeated"]:]
+        assert sum(sizes) <= rules.budget or (len(new) == 1 and (system + new[0] > rules.budget and r["n_repeated"] <= (system > 0)))
+        count += len(sizes) - len(new)
+    return count
+
+
+@pytest.mark.parametrize("system, sizes", [
+    (900, [300] * 9), (10, [300, 5, 5, 5, 900, 5, 5, 300, 300]), (0, [1000, 20, 1000, 20]), (1200, [10, 20, 30]), (100, [200] * 20), (500, [20] * 90), (767, [1, 255, 254, 256]),
+])
+def test_whole_windows_keep_to_the_budget(spark, system, sizes):
+    rows = [(1, 0, "system", "s " * system)] if system else []
+    rows += [(1, k + 1, ["user", "assistant"][k % 2], f"{'w ' * n}{k}") for k, n in enumerate(sizes)]
+    for rules in (chat.ChatRules(), chat.ChatRules(history_turns=1), chat.ChatRules(history_turns=0), chat.ChatRules(history_turns=3, history_tokens=600)):
+        windows = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), rules)
+        repeated = keeps_to_budget(windows, rules)
+        assert repeated or not rules.history_turns or windows.count() == 1 or max(sizes) + system > 900
+        got = chat.digests(chat.read_back(windows)).first()
+        assert got["n_turns"] == len(rows) and got["loss_chars"] == sum(len(r[3]) for r in rows if r[2] == "assistant")
+
+
 def test_chat(spark):
     turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1))
     rules = chat.ChatRules(budget=200)
@@ -309,10 +354,7 @@ def test_chat(spark):
     many = windows.where("conv_id = 2").orderBy("window").collect()
     assert len(many) > 3 and any(r["n_repeated"] for r in many)
     assert got[2]["formatted_chars"] == sum(len(r["text"]) for r in many)
-    for r in many:  # the new turns keep within the budget unless one turn is larger
-        new = [x for x in r["text"].split("<|end|>\n") if x][r["n_repeated"]:]
-        sizes = [len(x.split()) for x in new]
-        assert sum(sizes) <= rules.budget or len(new) == 1
+    keeps_to_budget(windows, rules)
     assert chat.formatted(turns.limit(0)).isEmpty()
 
 

@@ -422,9 +422,11 @@ def without_copies(docs: DataFrame, rules: NearDupRules = NearDupRules(), text:
     kept = classes(docs, rules, text, doc_id).where(
         F.col("key").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key")))
     counted = staged(kept.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")), "kept")
-    d = docs.withColumn("_key", F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), _key(F.col(text)))).alias("d")
-    k = counted.select(F.col("doc_id").alias("_id"), F.col("key").alias("_its")).alias("k")
-    first = d.join(k, F.col(f"d.{doc_id}").eqNullSafe(F.col("k._id")) & (F.col("d._key") == F.col("k._its")), "left_semi")
+    # Whole rows in one column, so that no name of theirs can clash.
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
+                    F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), _key(F.col(text))).alias("key")).alias("d")
+    k = counted.select("doc_id", "key").alias("k")
+    first = d.join(k, F.col("d.id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.key") == F.col("k.key")), "left_semi")
     if not counted.where("n > 1").isEmpty():
-        first = first.dropDuplicates([doc_id, "_key"])
-    return first.select(*docs.columns).unionByName(d.where("_key is null").select(*docs.columns))
+        first = first.dropDuplicates(["id", "key"])
+    return first.unionByName(d.where("key is null")).select("row.*")

@@ -48,6 +48,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> None:
+    """Removes everything this application staged; for when its results are written.
+    Results that have not been written can no longer be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc32_text(col: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; of a null, that of no bytes."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

@@ -7,7 +7,7 @@ _CLASS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 op8 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '{_CLASS}') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all({_FOLD.format("text")}, '{_CLASS}') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all({_FOLD.format("text")}, '{_CLASS}') AS w FROM benchmark WHERE text IS NOT NULL),
 pattern AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS width, array_to_string(w[i:i + 9], ' ') AS s
     FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
@@ -19,7 +19,7 @@ found AS (
 ),
 hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + width)) AS k FROM found) GROUP BY r),
 item AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
-         FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r)
+         FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(item.n, 0)::BIGINT AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)

@@ -15,12 +15,13 @@ import hashlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import carried, ddl, in_arrow, text_bytes
+from groundburn.llm.base import carried, ddl, in_arrow, staged, text_bytes
 
 #: Lower-cases A-Z and makes every ASCII byte but digits and letters a space.
 _WORD_BYTES = bytes(
@@ -89,47 +90,84 @@ class WuManber:
             yield from c.find(text)
 
 
-def _searched(patterns: list[tuple[bytes, list[str]]], width: int, block: int, last: bool):
-    """A function over Arrow batches that extends each row's hits by those of
-    ``patterns``; the last one replaces text and hits by the result."""
+class _Slice:
+    """Some items as a worker searches for them. The items travel with the task;
+    windows and tables are made where they are used."""
 
+    def __init__(self, items: list[tuple[str | None, bytes]], width: int, block: int):
+        self.items, self.width, self.block = items, width, block
+        self.search: WuManber | None = None
+
+    def __getstate__(self) -> tuple:
+        return self.items, self.width, self.block
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def open(self) -> None:
+        owners: dict[bytes, set[str]] = defaultdict(set)
+        for item, text in self.items:
+            for p in windows(normal_words(text), self.width):
+                owners[p].update([] if item is None else [item])
+        self.owners = {p: sorted(ids) for p, ids in owners.items()}
+        self.search = WuManber(list(owners), self.block) if owners else None
+
+    def found(self, text: bytes) -> tuple[int, list[int], list[str]]:
+        """Words of a text, half-open spans of those hit (start, end, start, end...), items found."""
+        words = normal_words(text)
+        spans: list[int] = []
+        items: set[str] = set()
+        if self.search and words:
+            line = b" " + b" ".join(words) + b" "
+            starts: list[int] | None = None
+            for at, p in self.search.find(line):
+                if starts is None:
+                    starts = [i for i, b in enumerate(line) if b == 0x20]
+                first = bisect_right(starts, at) - 1
+                spans += (first, first + p.count(b" ") - 1)
+                items.update(self.owners[p])
+        return len(words), spans, sorted(items)
+
+
+def _whole(part: _Slice, keep: list[str]):
+    """The result of rows, where one slice is the whole benchmark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owners = dict(patterns)
-        search = WuManber(list(owners), block) if owners else None
+        part.open()
         for batch in batches:
-            hits, items, counts = [], [], []
-            old_hits = batch.column("_hits").to_pylist()
-            old_items = batch.column("_items").to_pylist()
-            for text, spans, found in zip(text_bytes(batch.column("_text")), old_hits, old_items, strict=True):
-                words = normal_words(text)
-                counts.append(len(words))
-                spans, found = list(spans), set(found)
-                if search and words:
-                    line = b" " + b" ".join(words) + b" "
-                    starts: list[int] | None = None
-                    for at, p in search.find(line):
-                        if starts is None:
-                            starts = [i for i, b in enumerate(line) if b == 0x20]
-                        first = bisect_right(starts, at) - 1
-                        spans += (first, first + p.count(b" ") - 1)
-                        found.update(owners[p])
-                hits.append(spans)
-                items.append(sorted(found))
-            if not last:
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in batch.schema.names if c not in ("_hits", "_items")),
-                     pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
-                    names=[*(c for c in batch.schema.names if c not in ("_hits", "_items")), "_hits", "_items"])
-                continue
-            keep = [c for c in batch.schema.names if c not in ("_hits", "_items", "_text")]
+            found = [part.found(text) for text in text_bytes(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.array([f[0] for f in found], pa.int64()),
+                 pa.array([_union(f[1]) for f in found], pa.int64()), pa.array([f[2] for f in found], pa.list_(pa.string()))],
+                names=[*keep, *_OWN])
+
+    return run
+
+
+def _partly(part: _Slice, first: bool):
+    """(row, words, spans, items) of one slice: of every row from the first one, then of rows with hits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part.open()
+        for batch in batches:
+            rows = [(row, n if first else 0, spans, items) for row, (n, spans, items) in
+                    zip(batch.column(0).to_pylist(), map(part.found, text_bytes(batch.column(1))), strict=True) if first or spans]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(counts, pa.int64()), pa.array(map(_union, hits), pa.int64()),
-                 pa.array(items, pa.list_(pa.string()))],
-                names=[*keep, "n_words", "n_hit", "items"])
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())), strict=True)],
+                names=["row", "words", "spans", "items"])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(map(_union, batch.column(2).to_pylist()), pa.int64()), batch.column(3)],
+            names=["_row", *_OWN])
+
+
+_OWN = ("n_words", "n_hit", "items")
+
+
 def _union(spans: list[int]) -> int:
     """Length of the union of half-open spans given as start, end, start, end..."""
     total, reach = 0, 0
@@ -139,21 +177,6 @@ def _union(spans: list[int]) -> int:
     return total
 
 
-def pattern_slices(benchmark: DataFrame, width: int, slice_bytes: int) -> Iterator[list[tuple[bytes, list[str]]]]:
-    """Patterns and the ids of their items (none of items without an id), in slices whose text stays within
-    about ``slice_bytes``; at least one slice, empty without items."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, -(-total // slice_bytes))
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        owners: dict[bytes, set[str]] = defaultdict(set)
-        for row in part.toLocalIterator():  # bounded by the slice
-            for p in windows(normal_words(row["t"].encode()), width):
-                owners[p].update([] if row["i"] is None else [row["i"]])
-        yield [(p, sorted(ids)) for p, ids in owners.items()]
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: list[str] | None = None,
                   width: int = 10, block: int = 12, slice_bytes: int = 512 << 10) -> DataFrame:
     """Documents with n_words, n_hit and items (ids found, sorted as strings).
@@ -161,21 +184,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     Args:
         docs, benchmark: any columns; benchmark has item_id and text.
         keep: columns of ``docs`` to carry (all by default).
-        slice_bytes: most bytes of items searched in one pass. A larger
-            benchmark is searched in several passes over the same rows, one
-            after the other in the same task; nothing is shuffled.
-
-    Null text has no words. Items without words have no windows;
-    windows of items without an id count for n_hit but name no item. Equal windows of several items count for each.
+        slice_bytes: about the most bytes of items that are searched for at a
+            time, and the most that the driver and a task hold of them. A larger
+            benchmark is cut into slices, a pass over the texts for each; what a
+            pass finds is staged, and joined with the documents at the end.
+
+    Null text has no words. Items without words have no windows; windows of
+    items without an id count for n_hit but name no item. Equal windows of
+    several items count for each.
     """
-    keep = carried(docs, keep, "_text _hits _items n_words n_hit items")
-    empty = F.array().cast
-    rows = docs.select(*keep, F.col(text).alias("_text"), empty("array<int>").alias("_hits"), empty("array<string>").alias("_items"))
-    schema = ddl(docs, keep)
-    slices = list(pattern_slices(benchmark, width, slice_bytes))
-    for patterns in slices[:-1]:
-        rows = in_arrow(rows, _searched(patterns, width, block, False), f"{schema}_text string, _hits array<int>, _items array<string>")
-    return in_arrow(rows, _searched(slices[-1], width, block, True), f"{schema}n_words long, n_hit long, items array<string>")
+    keep = carried(docs, keep, "_text _row n_words n_hit items")
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n = max(1, -(-total // slice_bytes))
+
+    def part(rows: DataFrame) -> _Slice:
+        return _Slice([(r["i"], r["t"].encode()) for r in rows.toLocalIterator()], width, block)  # bounded by the slice
+
+    made = "n_words long, n_hit long, items array<string>"
+    if n == 1:
+        return in_arrow(docs.select(*keep, F.col(text).alias("_text")), _whole(part(items), keep), f"{ddl(docs, keep)}{made}")
+    sliced = staged(items.withColumn("slice", F.pmod(F.xxhash64("i", "t"), F.lit(n))), "items")
+    numbered = staged(docs.select(*keep, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "documents")
+    passes = [
+        staged(in_arrow(numbered.select("_row", "_text"), _partly(part(sliced.where(F.col("slice") == k)), k == 0),
+                        "row long, words long, spans array<int>, items array<string>"), "hits") for k in range(n)]
+    each = reduce(DataFrame.union, passes).groupBy("row").agg(
+        F.sum("words").alias("words"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    found = in_arrow(each, _summed, f"_row long, {made}")
+    return numbered.drop("_text").join(found, "_row").select(*keep, *_OWN)
 
 
 def items_digest(items: list[str]) -> str:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, wraps
 from pathlib import Path
 
 import numpy as np
@@ -96,13 +98,77 @@ def _package() -> str:
 _served: set[str] = set()
 
 
+_current = ""
+_kept: list[tuple[dict, Callable[[], None]]] = []
+
+
+def worker_cache(make: Callable) -> Callable:
+    """Keeps the value that a worker made last, from task to task of the operator
+    that uses it; it goes when the worker turns to another operator."""
+    cached, used = lru_cache(maxsize=1)(make), {"by": ""}
+
+    @wraps(make)
+    def get(*args):
+        used["by"] = _current
+        return cached(*args)
+
+    _kept.append((used, cached.cache_clear))
+    return get
+
+
+def _turn_to(operator: str) -> None:
+    """Called by a worker at each task's start: what other operators kept goes."""
+    global _current
+    if operator == _current:
+        return
+    _current = operator
+    for used, clear in _kept:
+        if used["by"] != operator:
+            clear()
+    gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns memory that is free to the system: workers live on, and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """``run``, a function over two cogrouped tables, with what the worker need not keep given back."""
+    operator = run.__module__
+
+    def tidied(left: pa.Table, right: pa.Table) -> pa.Table:
+        _turn_to(operator)
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package served to the workers, as --py-files would."""
+    """``df.mapInArrow`` with this package served to the workers, as --py-files would,
+    and with what a worker need not keep given back at both ends of a task."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _served:
         context.addPyFile(_package())
         _served.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+    operator = run.__module__
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _turn_to(operator)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidied, schema)
 
 
 def ddl(df: DataFrame, keep: list[str]) -> str:

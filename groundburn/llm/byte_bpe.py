@@ -17,7 +17,6 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import carried, ddl, in_arrow
+from groundburn.llm.base import carried, ddl, in_arrow, worker_cache
 
 
 @dataclass(frozen=True)
@@ -230,7 +229,7 @@ class Codec:
         self.runs.new.update(zip(runs, (t.encode("latin-1") for t in texts), strict=True))
 
 
-@lru_cache(maxsize=1)
+@worker_cache
 def codec(rules: BpeRules) -> Codec:
     """A worker's codec, kept from task to task."""
     return Codec(rules)

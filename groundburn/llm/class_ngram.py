@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundburn.llm.base import carried, ddl, in_arrow, staged
+from groundburn.llm.base import carried, ddl, in_arrow, staged, tidy
 from groundburn.llm.word_ids import by_bytes
 
 
@@ -468,7 +468,7 @@ def scored(docs: DataFrame, held_out: Column, text: str = "text", keep: list[str
     schema = ddl(blocks, carry)
     numbered = staged(
         blocks.groupBy("_block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
-            _numbered(first, carry, whole, rules), f"{schema}_n long, _known long, _base double, _own double, _ids binary"), "numbered")
+            tidy(_numbered(first, carry, whole, rules)), f"{schema}_n long, _known long, _base double, _own double, _ids binary"), "numbered")
 
     c = rules.classes
     of = (np.arange(size) % (c - 1) + 1).astype(np.min_scalar_type(c))

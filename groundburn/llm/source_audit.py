@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundburn.functions.joins import join_sized
-from groundburn.llm.base import in_arrow, staged
+from groundburn.llm.base import in_arrow, staged, tidy
 
 #: A term is a run of letters or of anything beyond ASCII; only A-Z are folded.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
@@ -283,7 +283,7 @@ def kept_terms(blocks: DataFrame, rules: AuditRules) -> DataFrame:
     ranges, term_ranges = (max(least, -(-(n or 0) // rules.range_rows)) for n in sums)
     answers = _answers(_asked(blocks, ranges))
     counts = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _known(ranges, term_ranges), "range int, counts binary")
+        tidy(_known(ranges, term_ranges)), "range int, counts binary")
     return _kept(counts, term_ranges, rules)
 
 
@@ -370,7 +370,7 @@ def divergences(docs: DataFrame, rules: AuditRules = AuditRules()) -> DataFrame:
     everywhere = join_sized(groups, per_lang.drop("n_sources"), ["lang"]).withColumn(
         "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles")
     parts = staged(tiled.groupBy("lang", "tile").cogroup(everywhere.groupBy("lang", "tile")).applyInArrow(
-        _tile(rules), "lang string, source string, part string, item string, value long"), "parts")
+        tidy(_tile(rules)), "lang string, source string, part string, item string, value long"), "parts")
 
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     pairs = parts.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))

@@ -15,13 +15,14 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
+from groundburn.llm.base import worker_cache
+
 #: Letters that lower-case one to one and are never changed by composition: ASCII and precomposed Latin.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ɏ"
 #: Letters, then ASCII marks without the apostrophe, which may begin a contraction.
@@ -158,7 +159,7 @@ class WordIds:
         return ids[place], ends
 
 
-@lru_cache(maxsize=1)
+@worker_cache
 def word_ids(path: str, width: int = 2, cached: int = 250_000) -> WordIds:
     """A worker's own, kept from task to task."""
     return WordIds(path, width, cached)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -138,11 +139,16 @@ def test_patterns_do_not_grow_with_the_documents():
     assert sum(p.count for p in found) * 4096 <= total * 1.001
 
 
+@lru_cache(maxsize=1)
+def small_cache():
+    return WordIds(WORD_BPE.tokenizer, cached=50)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.text(max_size=40), st.text("aBé.,' 's-12\tÀŒ́x", max_size=60)), max_size=8))
 def test_ids_of_any_text(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    own = test_ids_of_any_text.__dict__.setdefault("own", WordIds(WORD_BPE.tokenizer, cached=50))
+    own = small_cache()
     ids, ends = own.encode(pa.array(texts, pa.string()))
     want = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends, strict=False)] == want

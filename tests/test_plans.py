@@ -72,6 +72,13 @@ def test_large_tables_are_not_broadcast(spark, sf, nothing_is_small):
     assert "BroadcastExchange" not in planned(daily)
 
 
+def test_lines_move_as_what_the_query_uses(spark, sf, nothing_is_small):
+    """Month and taxi-out beside the key, not the quantities and keys they are worked out from."""
+    plan = planned(registry.QUERIES["por_mes"](spark, sf))
+    moved = re.search(r"Exchange hashpartitioning\(l_orderkey[^\n]*\n[^\n]*Project \[([^\n]*)\]\n", plan)[1]
+    assert re.fullmatch(r"l_orderkey#\d+L, cast\(l_shipdate#\d+ as date\) AS day#\d+, CASE WHEN .* END AS TaxiOut#\d+", moved)
+
+
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake") / "vuelos")

@@ -11,7 +11,7 @@ import groundburn.registry as registry
 import groundburn.sources.star as star
 from groundburn.functions import quantiles
 from groundburn.operators import coverage, delays, emissions, exploration, taxi_quality, weather_effect
-from groundburn.operators.measures import arrivals, departures, segments
+from groundburn.operators.measures import arrivals, departures, roll_ups, segments
 from groundburn.plans.audit import audit
 from groundburn.schema import FLIGHT, FLIGHT_KEY, WEATHER
 from groundburn.sources.flights import read_flights
@@ -66,6 +66,37 @@ def test_flights_are_scanned_once(spark, sf, nothing_is_small, name, monkeypatch
     assert sum(len(re.findall(r"FileScan parquet [^\n]*lineitem", plan)) for plan in plans) == 1
 
 
+#: Go over the flights several times, but over a table of them or of their sums.
+JOINED_ONCE = (
+    "contract_check_cambiadas",
+)
+
+
+@pytest.mark.parametrize("name", JOINED_ONCE)
+def test_flights_are_joined_once(spark, sf, monkeypatch, name):
+    """Every leg that comes out of the join of the test tables is counted."""
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        counted.add(1)
+        return True
+
+    flights = star_flights(spark, sf)
+    monkeypatch.setattr(registry, "star_flights", lambda *_: flights.where(seen.asNondeterministic()("CRSDepTime")))
+    registry.QUERIES[name](spark, sf).collect()
+    assert counted.value == flights.count()
+
+
+def test_levels_of_one_scan(spark):
+    """NULL keys are groups of their own, not sums over the key."""
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", None, 3.0), (None, None, 4.0), (None, 1, None)], "k string, h int, m double")
+    for level, got in zip((["k", "h"], ["k"], ["h"]), roll_ups(rows, (["k", "h"], ["k"], ["h"]), ("m",)), strict=True):
+        want = rows.groupBy(*level).agg(F.sum("m").alias("m"))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert got.columns == want.columns
+
+
 def test_large_tables_are_not_broadcast(spark, sf, nothing_is_small):
     assert "BroadcastExchange" not in planned(star_flights(spark, sf))
     daily = weather_effect.by_main_condition(departures(star_flights(spark, sf), P), star_weather(spark, sf), P)

@@ -69,6 +69,7 @@ def test_flights_are_scanned_once(spark, sf, nothing_is_small, name, monkeypatch
 #: Go over the flights several times, but over a table of them or of their sums.
 JOINED_ONCE = (
     "contract_check_cambiadas",
+    "duplicados_resumen", "duplicados_resumen_ruta_dia",
 )
 
 

@@ -70,6 +70,7 @@ def test_flights_are_scanned_once(spark, sf, nothing_is_small, name, monkeypatch
 JOINED_ONCE = (
     "contract_check_cambiadas",
     "duplicados_resumen", "duplicados_resumen_ruta_dia",
+    "verificacion_cruzada",
 )
 
 

@@ -71,6 +71,7 @@ JOINED_ONCE = (
     "contract_check_cambiadas",
     "duplicados_resumen", "duplicados_resumen_ruta_dia",
     "verificacion_cruzada",
+    "duplicados_ejemplos", "duplicados_ejemplos_ruta_dia",
 )
 
 

@@ -72,6 +72,7 @@ JOINED_ONCE = (
     "duplicados_resumen", "duplicados_resumen_ruta_dia",
     "verificacion_cruzada",
     "duplicados_ejemplos", "duplicados_ejemplos_ruta_dia",
+    "etiqueta_excesivo",
 )
 
 

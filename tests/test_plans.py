@@ -73,6 +73,7 @@ JOINED_ONCE = (
     "verificacion_cruzada",
     "duplicados_ejemplos", "duplicados_ejemplos_ruta_dia",
     "etiqueta_excesivo",
+    "verificacion_exactitud",
 )
 
 

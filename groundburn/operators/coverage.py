@@ -191,7 +191,8 @@ def repeated_keys(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, unique: b
     if not (mostly_unique(flights, key) if unique is None else unique):
         return key_counts(flights, key).where(F.col("n") > 1)
     hashed = flights.select(*key, F.xxhash64(*_alike(flights, key)).alias("_h"))
-    shared = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
+    # Dealt out first: hardly any would collapse before the shuffle, only fill the tasks' memory.
+    shared = hashed.select("_h").repartition("_h").groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
     return key_counts(join_sized(hashed, shared, ["_h"], "left_semi"), key).where(F.col("n") > 1)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import groundburn.registry as registry
 import groundburn.sources.star as star
-from groundburn.functions import quantiles
+from groundburn.functions import joins, quantiles
 from groundburn.operators import coverage, delays, emissions, exploration, taxi_quality, weather_effect
 from groundburn.operators.measures import arrivals, departures, roll_ups, segments
 from groundburn.plans.audit import audit
@@ -143,6 +143,15 @@ def test_rows_are_narrowed_to_shared_hashes_before_keys_are_grouped(lake):
     assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")
 
 
+def test_unique_hashes_are_not_counted_before_the_shuffle(lake, monkeypatch):
+    """A map side full of keys of their own collapses nothing and spills."""
+    stored, kept = [], joins.materialise
+    monkeypatch.setattr(joins, "materialise", lambda df: (stored.append(planned(df)), kept(df))[1])
+    coverage.repeated_keys(lake, unique=True)
+    above, below = stored[0].split("Exchange hashpartitioning(_h")
+    assert "HashAggregate" in above and "HashAggregate" not in below
+
+
 def test_hash_collisions_are_settled(spark, monkeypatch):
     """With one hash for everything the answer must not change."""
     rows = spark.createDataFrame([flight(Origin=o) for o in ("A", "A", "B", None, None, "C", "C", "C")], FLIGHT_DDL)

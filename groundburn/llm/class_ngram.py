@@ -123,7 +123,7 @@ def _requests(blocks: DataFrame, ranges: int, rules: ClassRules) -> DataFrame:
             blocks_of = batch.column(0).to_numpy()
             edges = np.append(np.flatnonzero(np.diff(blocks_of, prepend=-1)), len(blocks_of))
             for a, b in zip(edges, edges[1:]):
-                if at is not None and blocks_of[a] != at:
+                if held and blocks_of[a] != at:  # none are held where a block's last words have just been sent
                     yield sent(at, added(held))
                     held = []
                 at = int(blocks_of[a])

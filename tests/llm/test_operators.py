@@ -159,6 +159,19 @@ def test_rare_words_of_a_large_corpus_have_classes_of_their_own(spark):
     assert min(got[i] for i in range(8)) > max(got[i] for i in range(8, 16))
 
 
+def test_a_block_may_end_as_its_words_are_sent(spark):
+    """Where a block's last texts fill what a task may hold, nothing is left to send when the next block begins."""
+    rows = [(i, " ".join(f"w{i % 3}x{k}" for k in range(40))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    held = F.col("doc_id") >= 9
+    small = class_ngram.ClassRules(classes=3, block_bytes=1, read_bytes=1, count_chunk=30)  # every text is a block of its own
+    base = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score"]
+    got, want = (sorted(map(tuple, class_ngram.scored(docs, held, keep=["doc_id"], rules=rules).select(base).collect()))
+                 for rules in (small, class_ngram.ClassRules(classes=3)))
+    assert [r[:4] for r in got] == [r[:4] for r in want] == [(i, 41, 41, 9 * 41) for i in range(12)]
+    assert [r[4] for r in got] == pytest.approx([r[4] for r in want])
+
+
 def test_best_class_is_the_best_of_all():
     r = np.random.default_rng(3)
     k, words = 5, 12

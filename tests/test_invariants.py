@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from groundburn import registry
 from groundburn.functions import numeric, validity
 from groundburn.operators import exploration, verification
 from groundburn.operators.emissions import airport_hour, airport_month, departure_groups, departure_groups_total, yearly_summary
@@ -116,6 +117,41 @@ def test_known_ranking(spark):
             _months(spark, verification.KNOWN_RANKING[:-1]), expected))
 
 
+def test_accuracy_includes_the_ranking_and_a_month(data, monkeypatch):
+    """Ten airports beside the thirteen figures; a wrong ranking or month stops the check."""
+    flights, _ = data
+    tables = {"resumen_global": yearly_summary(departures(flights, P), P), "co2_aeropuerto_mes": airport_month(segments(flights, P), P)}
+
+    def run(**changed):
+        return verification.verify_accuracy(flights, tables | changed, cleaning_statistics(flights, P), (1996, 5), P)
+
+    rows = run().collect()
+    minutes = flights.where(F.col("TaxiOut") <= P.taxi_cap).groupBy("Origin").agg(F.sum("TaxiOut").alias("m")).collect()
+    tonnes = [int(r.m * P.fuel_low * P.co2_factor / 1000 + 0.5) for r in minutes]
+    ranked = [r for r in rows if r.medida.startswith("top_salida")]
+    assert len(rows) == 13 + len(ranked) and all(r.cuadra for r in rows)
+    assert [r.obtenido for r in ranked if r.obtenido > 0] == [t for t in sorted(tonnes, reverse=True)[:10] if t > 0]
+    with pytest.raises(verification.VerificationError, match="puesto"):
+        run(co2_aeropuerto_mes=tables["co2_aeropuerto_mes"].withColumn("co2_t_bajo_salida", F.lit(9.0)))
+    monkeypatch.setattr(verification, "both_valid", lambda p: F.col("TaxiOut") < 12)
+    with pytest.raises(verification.VerificationError, match="minutos_1996_05"):
+        run()
+
+
+def test_accuracy_query_has_a_row_for_each_of_the_ten_airports(spark, sf):
+    names = [r.medida for r in registry.QUERIES["verificacion_exactitud"](spark, sf).collect()]
+    assert set(names) >= set(verification.KNOWN_FIGURES) and len(names) == 23
+    assert sum(name.startswith("top_salida_") for name in names) == 10
+
+
+def test_ranking_may_round_to_other_units_than_its_rows(spark):
+    """Months are published to the kilogram; a total beside half a tonne agrees whichever way it is rounded."""
+    months = spark.createDataFrame([("A", 70.5004), ("B", 10.0)], "aeropuerto string, co2_t_bajo_salida double")
+    expected = verification.pinned_ranking(spark, [("A", 70.4997), ("B", 10.0004)])
+    rows = verification.verify_ranking(months, expected).orderBy("puesto").collect()
+    assert [(r.aeropuerto_esperado, r.obtenido, r.cuadra) for r in rows] == [("A", 71.0, True), ("B", 10.0, True)]
+
+
 def test_known_figures_name_every_published_figure(spark, data):
     flights, _ = data
     names = {r.medida for r in verification.recomputed_figures(flights, P).collect()}
